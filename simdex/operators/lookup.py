@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.validate import DEFAULT_MAX_DISTANCE, query_reject_reason
 from .hamming_join import hamming_pairs
-from .sizing import join_small
+from .sizing import join_small, materialize
 
 MATCH_COLUMNS = ("query_id", "doc_id", "chunk_idx", "offset", "size", "hash",
                  "distance", "match_type")
@@ -36,13 +36,17 @@ def _match_type():
 
 def hash_pairs(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DISTANCE, *,
                on: tuple[str, ...] = (), strategy: str = "auto") -> DataFrame:
-    """Distinct ``(on..., qhash, hash, distance)`` with distance <= k."""
-    left = chunks.select(*on, "hash").distinct()
-    right = (valid_queries(queries)
-             .select(*[F.col(c).alias(f"__q_{c}") for c in on], "qhash").distinct())
+    """Distinct ``(on..., qhash, hash, distance)`` with distance <= k.
+
+    The result is materialised: it is read by size checks and by up to two
+    expansion joins.  ``chunks`` should itself be a stored or checkpointed index.
+    """
+    left = materialize(chunks.select(*on, "hash").distinct())
+    right = materialize(valid_queries(queries)
+                        .select(*[F.col(c).alias(f"__q_{c}") for c in on], "qhash").distinct())
     pairs = hamming_pairs(left, right, k, strategy=strategy,
                           keys=tuple((c, f"__q_{c}") for c in on))
-    return pairs.select(*on, "qhash", "hash", "distance")
+    return materialize(pairs.select(*on, "qhash", "hash", "distance"))
 
 
 def _expand(pairs: DataFrame, chunks: DataFrame, queries: DataFrame,

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 BROADCAST_ROWS_CONF = "simdex.broadcast.maxRows"
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
@@ -33,3 +35,15 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     limit = broadcast_limit(big) if max_rows is None else max_rows
     side = F.broadcast(small) if has_at_most(small, limit) else small
     return big.join(side, on, how)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
+
+    Used for intermediate tables that are read more than once (an index built on
+    the fly, the distinct-hash pair table), so size checks and later joins read
+    the written data instead of recomputing fingerprints.  The files go to
+    ``spark.checkpoint.dir``, so a lost executor does not lose them.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

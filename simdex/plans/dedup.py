@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.simhash import DEFAULT_WORD_PATTERN, with_simhash, word_features
 from ..operators.hamming_join import hamming_pairs
-from ..operators.sizing import join_small
+from ..operators.sizing import join_small, materialize
 from .graph import connected_components
 
 DEFAULT_DEDUP_DISTANCE = 10
@@ -40,10 +40,11 @@ def near_duplicate_pairs(docs: DataFrame, k: int = DEFAULT_DEDUP_DISTANCE, *,
                          word_pattern: str = DEFAULT_WORD_PATTERN, with_jaccard: bool = True,
                          method: str = "arrow", strategy: str = "auto") -> DataFrame:
     """``(doc_a, doc_b, hash_a, hash_b, distance, kind[, jaccard])`` with doc_a < doc_b."""
-    fp = document_fingerprints(docs, features=features, shingle_n=shingle_n,
-                               word_pattern=word_pattern, method=method) \
-        .where(F.col("n_features") > 0)
-    groups = fp.groupBy("hash").agg(F.min("doc_id").alias("rep"))
+    # wordless documents all share hash -1; they are left out (cheap word count test)
+    worded = docs.where(F.size(word_features("content", word_pattern)) > 0)
+    fp = materialize(document_fingerprints(worded, features=features, shingle_n=shingle_n,
+                                           word_pattern=word_pattern, method=method))
+    groups = materialize(fp.groupBy("hash").agg(F.min("doc_id").alias("rep")))
     exact = (fp.join(groups, "hash").where(F.col("doc_id") != F.col("rep"))
              .select(F.col("rep").alias("doc_a"), F.col("doc_id").alias("doc_b"),
                      F.col("hash").alias("hash_a"), F.col("hash").alias("hash_b"),
@@ -55,7 +56,7 @@ def near_duplicate_pairs(docs: DataFrame, k: int = DEFAULT_DEDUP_DISTANCE, *,
             .select(F.col("rep_l").alias("doc_a"), F.col("rep_r").alias("doc_b"),
                     F.col("hash").alias("hash_a"), F.col("qhash").alias("hash_b"),
                     "distance", F.lit("near").alias("kind")))
-    pairs = exact.unionByName(near)
+    pairs = materialize(exact.unionByName(near))
     if not with_jaccard:
         return pairs
     words = docs.select("doc_id", F.array_distinct(word_features("content", word_pattern))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.validate import DEFAULT_MAX_DISTANCE
 from ..operators.index import build_index
 from ..operators.lookup import hash_pairs
-from ..operators.sizing import join_small
+from ..operators.sizing import join_small, materialize
 
 DEFAULT_PLAGIARISM_CHUNK = 128
 
@@ -27,17 +27,17 @@ def plagiarism_matches(references: DataFrame, submissions: DataFrame, *,
                        method: str = "arrow", strategy: str = "auto") -> DataFrame:
     """``references(doc_id, content)`` and ``submissions(doc_id, content)`` ->
     ``(doc_id, ref_id, matched_chunks, n_chunks, share, mean_distance, min_distance)``."""
-    ref_idx = build_index(references, chunk_size, features=features, method=method) \
-        .select(F.col("doc_id").alias("ref_id"), F.col("chunk_idx").alias("ref_chunk"), "hash")
-    sub_idx = build_index(submissions, chunk_size, stride=stride, features=features,
-                          method=method).select("doc_id", "chunk_idx", "hash")
+    ref_idx = materialize(build_index(references, chunk_size, features=features, method=method) \
+        .select(F.col("doc_id").alias("ref_id"), F.col("chunk_idx").alias("ref_chunk"), "hash"))
+    sub_idx = materialize(build_index(submissions, chunk_size, stride=stride, features=features,
+                                      method=method).select("doc_id", "chunk_idx", "hash"))
     queries = sub_idx.select(F.col("hash").alias("qhash")).distinct() \
         .withColumn("query_id", F.col("qhash").cast("string"))
     pairs = hash_pairs(ref_idx, queries, k, strategy=strategy)
     best = pairs.groupBy("qhash").agg(F.min("distance").alias("__best"))
-    kept = (pairs.join(best, "qhash")
-            .where((F.col("distance") == 0) | (F.col("__best") > 0))
-            .select("qhash", "hash", "distance"))
+    kept = materialize(pairs.join(best, "qhash")
+                       .where((F.col("distance") == 0) | (F.col("__best") > 0))
+                       .select("qhash", "hash", "distance"))
     # submission chunk -> matched reference hashes -> reference documents
     ref_hashes = ref_idx.select("ref_id", "hash").distinct()
     hits = join_small(ref_hashes, kept, "hash")

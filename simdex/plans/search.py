@@ -19,6 +19,7 @@ from ..functions.validate import DEFAULT_MAX_DISTANCE
 from ..operators.chunking import chunk_at_lengths
 from ..operators.lookup import lookup
 from ..operators.results import chunk_content
+from ..operators.sizing import materialize
 
 LENGTHS_PER_PASS = 64
 
@@ -43,7 +44,7 @@ def search_corpus(docs: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DIST
                   with_content: bool = True, method: str = "arrow",
                   lengths_per_pass: int = LENGTHS_PER_PASS) -> DataFrame:
     """U4 (W1 for one query): hits of every query text in every document."""
-    q = prepare_queries(queries, id_col=id_col, text_col=text_col, method=method)
+    q = materialize(prepare_queries(queries, id_col=id_col, text_col=text_col, method=method))
     lengths = sorted(r[0] for r in q.select("chunk_size").distinct().collect())
     if not lengths:
         schema = ("chunk_size int, query_id string, doc_id bigint, chunk_idx int, offset bigint, "
@@ -53,8 +54,8 @@ def search_corpus(docs: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DIST
     results = []
     for i in range(0, len(lengths), lengths_per_pass):
         part = lengths[i:i + lengths_per_pass]
-        chunks = with_simhash(chunk_at_lengths(docs, part), "chunk", method=method) \
-            .drop("chunk")
+        chunks = materialize(with_simhash(chunk_at_lengths(docs, part), "chunk", method=method)
+                             .drop("chunk"))
         qp = q.where(F.col("chunk_size").isin(part))
         results.append(lookup(chunks, qp, k, scope=scope, on=("chunk_size",)))
     matches = reduce(DataFrame.unionByName, results)

@@ -21,6 +21,7 @@ from .plans.dedup import dedup_documents, document_fingerprints, near_duplicate_
 from .plans.distribution import content_distribution, distance_histogram, top_buckets
 from .plans.plagiarism import plagiarism_matches
 from .plans.search import prepare_queries, search_corpus
+from .operators.sizing import materialize
 from .session import work_path
 from .sources.documents import load_documents, read_table
 from .sources.index_store import read_index, write_index
@@ -56,6 +57,11 @@ def _index(spark, sf, chunk=CHUNK, **kw):
     return build_index(_docs(spark, sf), chunk, **kw)
 
 
+def _stored_index(spark, sf, chunk=CHUNK, **kw):
+    """The index as a lookup job reads it: computed once, then read from storage."""
+    return materialize(_index(spark, sf, chunk, **kw))
+
+
 def _bench_queries(spark, sf):
     """Query hashes: the SimHash of every benchmark text."""
     q = prepare_queries(read_table(spark, sf, "benchmark"), id_col="item_id")
@@ -211,19 +217,19 @@ def q_format_hex_hash(spark, sf):
           f"SELECT {MATCH_COLS} FROM (SELECT *, 'exact' AS match_type FROM ({PAIRS}) p "
           f"WHERE distance = 0) x")
 def q_lookup_exact(spark, sf):
-    return lookup_exact(_index(spark, sf), _bench_queries(spark, sf))
+    return lookup_exact(_stored_index(spark, sf), _bench_queries(spark, sf))
 
 
 @register("lookup_fuzzy",
           f"SELECT {MATCH_COLS} FROM (SELECT *, CASE WHEN distance = 0 THEN 'exact' ELSE 'fuzzy' END "
           f"AS match_type FROM ({PAIRS}) p) x")
 def q_lookup_fuzzy(spark, sf):
-    return lookup_fuzzy(_index(spark, sf), _bench_queries(spark, sf), K)
+    return lookup_fuzzy(_stored_index(spark, sf), _bench_queries(spark, sf), K)
 
 
 @register("lookup", LOOKUP_FILE)
 def q_lookup(spark, sf):
-    return lookup(_index(spark, sf), _bench_queries(spark, sf), K, scope="file")
+    return lookup(_stored_index(spark, sf), _bench_queries(spark, sf), K, scope="file")
 
 
 @register("lookup_corpus",
@@ -231,12 +237,12 @@ def q_lookup(spark, sf):
           f"AS match_type, min(distance) OVER (PARTITION BY query_id) AS best FROM ({PAIRS}) p) x "
           f"WHERE distance = 0 OR best > 0")
 def q_lookup_corpus(spark, sf):
-    return lookup(_index(spark, sf), _bench_queries(spark, sf), K, scope="corpus")
+    return lookup(_stored_index(spark, sf), _bench_queries(spark, sf), K, scope="corpus")
 
 
 @register("lookup_banded", LOOKUP_FILE)
 def q_lookup_banded(spark, sf):
-    return lookup(_index(spark, sf), _bench_queries(spark, sf), K, scope="file", strategy="banded")
+    return lookup(_stored_index(spark, sf), _bench_queries(spark, sf), K, scope="file", strategy="banded")
 
 
 @register("unmatched_queries",
@@ -245,7 +251,7 @@ def q_lookup_banded(spark, sf):
           f"(SELECT query_id FROM ({LOOKUP_FILE}) m)")
 def q_unmatched(spark, sf):
     q = _bench_queries(spark, sf)
-    return unmatched_queries(q, lookup(_index(spark, sf), q, K))
+    return unmatched_queries(q, lookup(_stored_index(spark, sf), q, K))
 
 
 @register("nearest_chunks",
@@ -254,14 +260,14 @@ def q_unmatched(spark, sf):
           f"(SELECT *, CASE WHEN distance = 0 THEN 'exact' ELSE 'fuzzy' END AS match_type "
           f"FROM ({PAIRS}) p) y) x WHERE rank <= {TOP_N}")
 def q_nearest(spark, sf):
-    m = lookup_fuzzy(_index(spark, sf), _bench_queries(spark, sf), K)
+    m = lookup_fuzzy(_stored_index(spark, sf), _bench_queries(spark, sf), K)
     return nearest_chunks(m, TOP_N)
 
 
 @register("hamming_histogram",
           f"SELECT distance, CAST(count(*) AS BIGINT) AS n FROM ({PAIRS}) p GROUP BY distance")
 def q_hamming_histogram(spark, sf):
-    return distance_histogram(lookup_fuzzy(_index(spark, sf), _bench_queries(spark, sf), K))
+    return distance_histogram(lookup_fuzzy(_stored_index(spark, sf), _bench_queries(spark, sf), K))
 
 
 # ---------------------------------------------------------------- results
@@ -273,7 +279,7 @@ CONTENT = (f"SELECT m.*, c.content[m.\"offset\" + 1:m.\"offset\" + m.size] AS co
 @register("chunk_content", f"SELECT {MATCH_COLS}, hex(content) AS content_hex FROM ({CONTENT}) x")
 def q_chunk_content(spark, sf):
     docs = _docs(spark, sf)
-    m = lookup(build_index(docs, CHUNK), _bench_queries(spark, sf), K)
+    m = lookup(materialize(build_index(docs, CHUNK)), _bench_queries(spark, sf), K)
     return chunk_content(m, docs).select(*m.columns, F.hex("content").alias("content_hex"))
 
 
@@ -282,7 +288,7 @@ def q_chunk_content(spark, sf):
           f"md5(content) AS text_md5 FROM ({CONTENT}) x")
 def q_lookup_report(spark, sf):
     docs = _docs(spark, sf)
-    m = lookup(build_index(docs, CHUNK), _bench_queries(spark, sf), K)
+    m = lookup(materialize(build_index(docs, CHUNK)), _bench_queries(spark, sf), K)
     r = lookup_report(chunk_content(m, docs))
     return r.withColumn("text_md5", F.md5(F.col("text").cast("binary"))).drop("text")
 
@@ -294,7 +300,7 @@ def q_lookup_report(spark, sf):
           f"FROM ({Q}) q LEFT JOIN ({LOOKUP_FILE}) m ON q.query_id = m.query_id GROUP BY q.query_id")
 def q_match_count(spark, sf):
     q = _bench_queries(spark, sf)
-    return match_count(q, lookup(_index(spark, sf), q, K))
+    return match_count(q, lookup(_stored_index(spark, sf), q, K))
 
 
 @register("report_text",
@@ -309,7 +315,7 @@ def q_match_count(spark, sf):
 def q_report_text(spark, sf):
     docs = _docs(spark, sf)
     q = _bench_queries(spark, sf)
-    m = lookup(build_index(docs, CHUNK), q, K)
+    m = lookup(materialize(build_index(docs, CHUNK)), q, K)
     c = chunk_content(m, docs).withColumn("text", F.md5("content"))
     return report_lines(c, q).select("query_id", "part", "distance", "doc_id", "offset",
                                      "line_no", "line")
@@ -320,7 +326,7 @@ def q_report_text(spark, sf):
           f"'offset': \"offset\", 'size': size, 'hash': hash, 'distance': distance, "
           f"'match_type': match_type}}) AS json FROM ({LOOKUP_FILE}) m")
 def q_matches_json(spark, sf):
-    return matches_json(lookup(_index(spark, sf), _bench_queries(spark, sf), K))
+    return matches_json(lookup(_stored_index(spark, sf), _bench_queries(spark, sf), K))
 
 
 # ---------------------------------------------------------------- composed jobs

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Session setting: number of partitions to spread a scan over.  Unset (the default
-# on a cluster) keeps the scan's own splits and adds no shuffle; small local inputs
-# stored as a few Parquet row groups set it to use every core.
+# Session setting: number of partitions to spread a scan over.  Unset on a cluster,
+# the scan's own splits are kept and no shuffle is added.  In local mode (one
+# machine, test tables stored as one or a few Parquet row groups) the scan is
+# spread over the local cores by default.
 SCAN_PARTITIONS_CONF = "simdex.scan.partitions"
 
 
@@ -19,7 +20,11 @@ def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     if partitions is None:
         conf = spark.conf.get(SCAN_PARTITIONS_CONF, None)
-        partitions = int(conf) if conf else None
+        sc = spark.sparkContext
+        if conf:
+            partitions = int(conf)
+        elif sc.master.startswith("local"):
+            partitions = sc.defaultParallelism
     return df.repartition(partitions) if partitions else df
 
 
