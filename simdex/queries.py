@@ -394,8 +394,8 @@ def q_near_dups(spark, sf):
 
 
 @register("dedup_documents",
-          f"WITH RECURSIVE e AS (SELECT doc_a AS a, doc_b AS b FROM ({DEDUP_PAIRS}) p "
-          f"UNION SELECT doc_b, doc_a FROM ({DEDUP_PAIRS}) p2), "
+          f"WITH RECURSIVE p AS MATERIALIZED ({DEDUP_PAIRS}), "
+          f"e AS MATERIALIZED (SELECT doc_a AS a, doc_b AS b FROM p UNION SELECT doc_b, doc_a FROM p), "
           f"r(node, comp) AS (SELECT doc_id, doc_id FROM ({D}) d UNION "
           f"SELECT e.b, r.comp FROM r JOIN e ON r.node = e.a), "
           f"c AS (SELECT node, min(comp) AS comp FROM r GROUP BY node) "
