@@ -31,6 +31,15 @@ def build_index(docs: DataFrame, chunk_size: int, *, stride: int | None = None,
     return out.select(*cols)
 
 
+def index_chunks(chunks: DataFrame, *, features: str = "word", shingle_n: int = 3,
+                 word_pattern: str = DEFAULT_WORD_PATTERN, token_hash: str = "md5",
+                 method: str = "arrow", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """I1 for input that is already chunked (e.g. ``read_file_chunks``)."""
+    out = with_simhash(chunks, "chunk", features=features, shingle_n=shingle_n,
+                       word_pattern=word_pattern, token_hash=token_hash, method=method)
+    return out.select(*keep, *[c for c in INDEX_COLUMNS if c not in keep])
+
+
 def hash_buckets(chunks: DataFrame, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Positions per (file, hash), as the reference's ``HashToChunks``.
 

@@ -128,3 +128,20 @@ def test_stream_index_equals_batch(spark, tmp_dir):
     cols = ["doc_id", "chunk_idx", "offset", "size", "hash"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
     assert list(itertools.islice(got.columns, 0, 1))
+
+
+def test_ranged_file_chunks_equal_whole_file(spark, tmp_dir):
+    from simdex.operators.index import index_chunks
+    from simdex.sources.ranged_files import read_file_chunks
+    texts = {"a.txt": (ORIGINAL + FILLER) * 7, "b.txt": "Hello, world! This is a test file.",
+             "c.txt": ""}
+    for name, text in texts.items():
+        with open(os.path.join(tmp_dir, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    cols = ["doc_id", "chunk_idx", "offset", "size", "n_words", "hash"]
+    for size, stride in ((64, None), (50, 20)):
+        whole = build_index(scan_files(spark, tmp_dir, glob="*.txt"), size, stride=stride)
+        ranged = index_chunks(read_file_chunks(spark, tmp_dir, size, stride=stride, glob="*.txt",
+                                               range_bytes=3 * (stride or size)))
+        assert sorted(map(tuple, ranged.select(*cols).collect())) == \
+            sorted(map(tuple, whole.select(*cols).collect()))
