@@ -220,6 +220,26 @@ def q_lookup_exact(spark, sf):
     return lookup_exact(_stored_index(spark, sf), _bench_queries(spark, sf))
 
 
+FLAGGED_Q = (f"SELECT DISTINCT lower(hex(i.hash)) AS query_id, i.hash AS qhash FROM ({IDX}) i "
+             f"JOIN labels l ON i.doc_id = l.doc_id WHERE l.toxic = 1")
+
+
+@register("lookup_exact_flagged",
+          f"SELECT q.query_id, i.doc_id, i.chunk_idx, i.\"offset\", i.size, i.hash, 0 AS distance, "
+          f"'exact' AS match_type FROM ({IDX}) i JOIN ({FLAGGED_Q}) q ON i.hash = q.qhash "
+          f"WHERE q.qhash <> 0")
+def q_lookup_exact_flagged(spark, sf):
+    """Where does the content of flagged (toxic) documents occur in the corpus?
+    Queries are the distinct chunk hashes of those documents, so a hash shared by
+    many flagged chunks is looked up once."""
+    idx = _stored_index(spark, sf)
+    flagged = read_table(spark, sf, "labels").where(F.col("toxic") == 1).select("doc_id")
+    q = (idx.join(flagged, "doc_id", "left_semi").select(F.col("hash").alias("qhash")).distinct()
+         .withColumn("query_id", format_hex_hash("qhash")))
+    return lookup_exact(idx, q).select("query_id", "doc_id", "chunk_idx", "offset", "size", "hash",
+                                       F.col("distance").cast("int").alias("distance"), "match_type")
+
+
 @register("lookup_fuzzy",
           f"SELECT {MATCH_COLS} FROM (SELECT *, CASE WHEN distance = 0 THEN 'exact' ELSE 'fuzzy' END "
           f"AS match_type FROM ({PAIRS}) p) x")
