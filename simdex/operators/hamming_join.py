@@ -8,8 +8,9 @@ Two exact plans:
   ``nested_max_rows`` hashes.
 * ``banded``: multi-index hashing (Norouzi, Punjani, Fleet 2012; Manku et al.
   2007).  The 64 bits are cut into 4 bands of 16; if ``d(a, b) <= k`` some band
-  differs in at most ``r = k // 4`` bits (pigeonhole).  One side is expanded to
-  every band value within ``r`` bits, the other emits its 4 band values, and an
+  differs in at most ``r = k // 4`` bits (pigeonhole).  The side with fewer
+  hashes is expanded to every band value within ``r`` bits, the other emits its
+  4 band values, and an
   equi-join on ``(band, value)`` produces candidates, which are then checked on all
   64 bits.  A pair is kept only from the first band that admits it, so no
   ``distinct`` is needed.  The equi-join is broadcast only under a size check;
@@ -82,32 +83,48 @@ def hamming_pairs(left: DataFrame, right: DataFrame, k: int, *, left_hash: str =
     return _banded(left, right, k, left_hash, right_hash, keys)
 
 
+def _band_rows(df: DataFrame, hash_col: str, masks: list[int] | None) -> DataFrame:
+    """One row per band (and per mask when ``masks`` is given): ``__band, __bval``."""
+    cols = df.columns
+    banded = df.select("*", F.posexplode(F.array(*[_band(F.col(hash_col), j)
+                                                   for j in range(BANDS)])).alias("__band", "__v0"))
+    if masks is None:
+        return banded.withColumnRenamed("__v0", "__bval")
+    return (banded.select(*cols, "__band", "__v0",
+                          F.explode(F.array(*[F.lit(m) for m in masks])).alias("__mask"))
+            .select(*cols, "__band", F.col("__v0").bitwiseXOR(F.col("__mask")).alias("__bval")))
+
+
 def _banded(left, right, k, left_hash, right_hash, keys):
     r = k // BANDS
     masks = band_masks(r)
-    rcols, lcols = right.columns, left.columns
-    probe = (right
-             .select("*", F.posexplode(F.array(*[_band(F.col(right_hash), j)
-                                                 for j in range(BANDS)])).alias("__band", "__v0"))
-             .select(*rcols, "__band",
-                     F.explode(F.array(*[F.lit(m) for m in masks])).alias("__mask"),
-                     "__v0")
-             .select(*rcols, "__band", F.col("__v0").bitwiseXOR(F.col("__mask")).alias("__bval")))
-    build = left.select("*", F.posexplode(F.array(*[_band(F.col(left_hash), j)
-                                                     for j in range(BANDS)])).alias("__band", "__bval"))
+    lcols, rcols = left.columns, right.columns
+    # expand the side with fewer hashes (x 4 x len(masks) rows); the other emits 4 rows each
+    n_left, n_right = left.count(), right.count()
+    expand_right = n_right <= n_left
+    lrows = _band_rows(left, left_hash, None if expand_right else masks)
+    rrows = _band_rows(right, right_hash, masks if expand_right else None)
     limit = broadcast_limit(left)
-    if has_at_most(right, max(1, limit // (BANDS * len(masks)))):
-        probe = F.broadcast(probe)
-    elif has_at_most(left, max(1, limit // BANDS)):
-        build = F.broadcast(build)
-    on = [build["__band"] == probe["__band"], build["__bval"] == probe["__bval"]]
-    on += [build[lk] == probe[rk] for lk, rk in keys]
-    joined = build.join(probe, on, "inner").drop(probe["__band"]).drop(probe["__bval"])
+    expanded_rows = BANDS * len(masks) * min(n_left, n_right)
+    plain_rows = BANDS * max(n_left, n_right)
+    if expanded_rows <= limit:
+        if expand_right:
+            rrows = F.broadcast(rrows)
+        else:
+            lrows = F.broadcast(lrows)
+    elif plain_rows <= limit:
+        if expand_right:
+            lrows = F.broadcast(lrows)
+        else:
+            rrows = F.broadcast(rrows)
+    on = [lrows["__band"] == rrows["__band"], lrows["__bval"] == rrows["__bval"]]
+    on += [lrows[lk] == rrows[rk] for lk, rk in keys]
+    joined = lrows.join(rrows, on, "inner")
     lh, rh = F.col(left_hash), F.col(right_hash)
     dist = F.bit_count(lh.bitwiseXOR(rh)).cast("int")
     # keep a pair only from the first band whose distance is within r
     cond = dist <= k
     for j in range(BANDS - 1):
-        cond = cond & ((build["__band"] <= j) | (_band_distance(lh, rh, j) > r))
+        cond = cond & ((lrows["__band"] <= j) | (_band_distance(lh, rh, j) > r))
     return (joined.where(cond)
-            .select(*lcols, *rcols, dist.alias("distance")))
+            .select(*[lrows[c] for c in lcols], *[rrows[c] for c in rcols], dist.alias("distance")))

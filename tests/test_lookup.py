@@ -104,3 +104,14 @@ def test_banded_equals_brute_force(spark, k):
     for strategy in ("banded", "nested"):
         got = sorted((r.hash, r.qhash) for r in hamming_pairs(L, R, k, strategy=strategy).collect())
         assert got == expect, strategy
+
+
+def test_banded_expands_smaller_left_side(spark):
+    rnd = random.Random(3)
+    right = sorted({rnd.getrandbits(63) for _ in range(40)})
+    left = sorted({right[i % 40] ^ (1 << rnd.randrange(63)) for i in range(8)})
+    expect = sorted((a, b) for a in left for b in right if bin(a ^ b).count("1") <= 10)
+    L = spark.createDataFrame([(v,) for v in left], "hash bigint")
+    R = spark.createDataFrame([(v,) for v in right], "qhash bigint")
+    got = sorted((r.hash, r.qhash) for r in hamming_pairs(L, R, 10, strategy="banded").collect())
+    assert got == expect
