@@ -485,7 +485,6 @@ def q_top_buckets(spark, sf):
 
 @register("incremental_index", IDX)
 def q_incremental(spark, sf):
-    from .sources.index_store import INDEX_SCHEMA  # noqa: F401
     from .streaming.incremental import document_stream, incremental_index
     schema = read_table(spark, sf, "documents").schema
     stream = document_stream(spark, sf, schema, glob="documents.parquet")
