@@ -115,3 +115,31 @@ def test_banded_expands_smaller_left_side(spark):
     R = spark.createDataFrame([(v,) for v in right], "qhash bigint")
     got = sorted((r.hash, r.qhash) for r in hamming_pairs(L, R, 10, strategy="banded").collect())
     assert got == expect
+
+
+def test_banded_with_join_keys_equals_nested(spark):
+    rnd = random.Random(11)
+    rows, qrows = [], []
+    for i in range(120):
+        size = rnd.choice([64, 128, 256])
+        base = rnd.getrandbits(63)
+        rows.append((1, i, i * 10, size, base, size))
+        if i % 3 == 0:
+            flip = base
+            for bit in rnd.sample(range(63), rnd.randint(0, 12)):
+                flip ^= 1 << bit
+            qrows.append((f"q{i}", flip, rnd.choice([64, 128, 256])))
+    idx = spark.createDataFrame(rows, "doc_id bigint, chunk_idx int, offset bigint, size int, "
+                                      "hash bigint, chunk_size int")
+    q = spark.createDataFrame(qrows, "query_id string, qhash bigint, chunk_size int")
+    results = {}
+    for strategy in ("nested", "banded"):
+        for scope in ("file", "corpus"):
+            m = lookup(idx, q, 10, scope=scope, on=("chunk_size",), strategy=strategy)
+            results[(strategy, scope)] = sorted(
+                (r.query_id, r.chunk_idx, r.chunk_size, r.distance) for r in m.collect())
+    assert results[("nested", "file")] == results[("banded", "file")]
+    assert results[("nested", "corpus")] == results[("banded", "corpus")]
+    assert results[("nested", "file")]
+    for qid, _, cs, _ in results[("nested", "file")]:
+        assert cs == next(r[2] for r in qrows if r[0] == qid)

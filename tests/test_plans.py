@@ -145,3 +145,14 @@ def test_ranged_file_chunks_equal_whole_file(spark, tmp_dir):
                                                range_bytes=3 * (stride or size)))
         assert sorted(map(tuple, ranged.select(*cols).collect())) == \
             sorted(map(tuple, whole.select(*cols).collect()))
+
+
+def test_search_in_several_length_passes(spark):
+    docs = docs_df(spark, {1: ORIGINAL + FILLER, 2: FILLER + ORIGINAL})
+    texts = [("a", ORIGINAL[:40]), ("b", ORIGINAL[:64]), ("c", FILLER[:50]), ("d", ORIGINAL)]
+    q = spark.createDataFrame(texts, "query_id string, text string")
+    one = search_corpus(docs, q, 10, with_content=False).collect()
+    many = search_corpus(docs, q, 10, with_content=False, lengths_per_pass=1).collect()
+    key = lambda r: (r.query_id, r.doc_id, r.offset, r.distance)
+    assert sorted(map(key, one)) == sorted(map(key, many))
+    assert {r.query_id for r in one} >= {"a", "d"}
