@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.validate import DEFAULT_MAX_DISTANCE, query_reject_reason
-from .hamming_join import hamming_pairs
-from .sizing import join_small, materialize
+from .hamming_join import NESTED_MAX_ROWS, hamming_pairs
+from .sizing import has_at_most, join_small, materialize
 
 MATCH_COLUMNS = ("query_id", "doc_id", "chunk_idx", "offset", "size", "hash",
                  "distance", "match_type")
@@ -38,15 +38,23 @@ def hash_pairs(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DISTA
                on: tuple[str, ...] = (), strategy: str = "auto") -> DataFrame:
     """Distinct ``(on..., qhash, hash, distance)`` with distance <= k.
 
-    The result is materialised: it is read by size checks and by up to two
-    expansion joins.  ``chunks`` should itself be a stored or checkpointed index.
+    With a tiny query side (nested plan) the index hashes are streamed through
+    the broadcast nested loop as they are and only the small result is made
+    distinct, so the index is neither shuffled nor written.  Otherwise both
+    sides are reduced to distinct hashes first and materialised, so size checks
+    and the banded join read written data.  The result is materialised: it is
+    read by size checks and by up to two expansion joins.
     """
-    left = materialize(chunks.select(*on, "hash").distinct())
     right = materialize(valid_queries(queries)
                         .select(*[F.col(c).alias(f"__q_{c}") for c in on], "qhash").distinct())
-    pairs = hamming_pairs(left, right, k, strategy=strategy,
-                          keys=tuple((c, f"__q_{c}") for c in on))
-    return materialize(pairs.select(*on, "qhash", "hash", "distance"))
+    keys = tuple((c, f"__q_{c}") for c in on)
+    if strategy in ("auto", "nested") and has_at_most(right, NESTED_MAX_ROWS):
+        left = chunks.select(*on, "hash")
+        pairs = hamming_pairs(left, right, k, strategy="nested", keys=keys)
+    else:
+        left = materialize(chunks.select(*on, "hash").distinct())
+        pairs = hamming_pairs(left, right, k, strategy=strategy, keys=keys)
+    return materialize(pairs.select(*on, "qhash", "hash", "distance").distinct())
 
 
 def _expand(pairs: DataFrame, chunks: DataFrame, queries: DataFrame,
