@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.validate import DEFAULT_MAX_DISTANCE, query_reject_reason
 from .hamming_join import NESTED_MAX_ROWS, hamming_pairs
-from .sizing import has_at_most, join_small, materialize
+from .sizing import broadcast_limit, has_at_most, join_small, materialize
 
 MATCH_COLUMNS = ("query_id", "doc_id", "chunk_idx", "offset", "size", "hash",
                  "distance", "match_type")
@@ -38,9 +38,10 @@ def hash_pairs(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DISTA
                on: tuple[str, ...] = (), strategy: str = "auto") -> DataFrame:
     """Distinct ``(on..., qhash, hash, distance)`` with distance <= k.
 
-    With a tiny query side (nested plan) the index hashes are streamed through
-    the broadcast nested loop as they are and only the small result is made
-    distinct, so the index is neither shuffled nor written.  Otherwise both
+    With a tiny query side (nested plan; with ``on`` keys: few query hashes per
+    key, planned as a broadcast hash join on the keys plus the bit-count filter)
+    the index hashes are streamed through as they are and only the small result
+    is made distinct, so the index is neither shuffled nor written.  Otherwise both
     sides are reduced to distinct hashes first and materialised, so size checks
     and the banded join read written data.  The result is materialised: it is
     read by size checks and by up to two expansion joins.
@@ -48,7 +49,7 @@ def hash_pairs(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DISTA
     right = materialize(valid_queries(queries)
                         .select(*[F.col(c).alias(f"__q_{c}") for c in on], "qhash").distinct())
     keys = tuple((c, f"__q_{c}") for c in on)
-    if strategy in ("auto", "nested") and has_at_most(right, NESTED_MAX_ROWS):
+    if strategy in ("auto", "nested") and _few_per_key(right, [k2 for _, k2 in keys]):
         left = chunks.select(*on, "hash")
         pairs = hamming_pairs(left, right, k, strategy="nested", keys=keys)
     else:
@@ -57,6 +58,21 @@ def hash_pairs(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DISTA
     return materialize(pairs.select(*on, "qhash", "hash", "distance").distinct())
 
 
+def _few_per_key(right: DataFrame, keys: list[str]) -> bool:
+    """Is the (materialised) query side small enough for the nested plan?
+
+    Without keys: at most NESTED_MAX_ROWS hashes.  With keys the nested plan is a
+    broadcast hash join on the keys plus the bit-count filter, so what matters is
+    the number of query hashes per key (and that the side fits a broadcast).
+    """
+    if not keys:
+        return has_at_most(right, NESTED_MAX_ROWS)
+    if not has_at_most(right, broadcast_limit(right)):
+        return False
+    per_key = right.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return (per_key or 0) <= NESTED_MAX_ROWS
+
+
 def _expand(pairs: DataFrame, chunks: DataFrame, queries: DataFrame,
             on: tuple[str, ...]) -> DataFrame:
     """(on..., qhash, hash, distance) -> one row per (query, chunk)."""
