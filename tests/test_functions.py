@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +88,26 @@ def test_words_and_shingles(spark):
     assert rows[0].s == ["the cat the", "cat the hat_1", "the hat_1 sat"]
     assert rows[1].s == ["one two"]
     assert rows[2].s == []
+
+
+def test_native_and_arrow_votes_agree_on_random_text(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("abcXYZ019_ .,!\n") + ["é", "ß", "中", "İ"])
+    texts = st.lists(st.text(alphabet, max_size=60), min_size=1, max_size=25)
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(texts)
+    def check(batch):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(batch)], "i int, t string")
+        df = df.withColumn("b", F.encode("t", "UTF-8"))
+        a = {r.i: r.hash for r in with_simhash(df, "b", method="arrow").collect()}
+        n = {r.i: r.hash for r in with_simhash(df, "b", method="native").collect()}
+        assert a == n
+        for i, t in enumerate(batch):
+            # lower-casing first: "İ" becomes "i" + combining dot, so it has a word
+            if not re.search("[a-z0-9_]", t.lower()):
+                assert a[i] == -1
+
+    check()
