@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, work_path
 
@@ -69,3 +70,16 @@ def concat_ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lens)
     return np.arange(total) - np.repeat(ends - lens, lens) + np.repeat(starts, lens)
+
+
+def sample_texts(docs: DataFrame, text: str, n: int) -> list[str]:
+    """At most ``n`` distinct whole texts, those of the smallest hashes (for fitting only).
+
+    The hashes are chosen first, so only the chosen texts leave the executors."""
+    t = docs.where(F.col(text).isNotNull()).select(F.col(text).cast("string").alias("text")) \
+        .withColumn("h", F.xxhash64("text"))
+    cut = t.select("h").distinct().orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    if cut is None:
+        return []
+    rows = t.where(F.col("h") <= cut).dropDuplicates(["h"]).orderBy("h").collect()
+    return [r["text"] for r in rows]

@@ -5,18 +5,41 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, langid, mixing, pii, quality
 from .common import load
 
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(load(spark, sf_dir, "documents")).drop("source")
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(load(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(load(spark, sf_dir, "documents")).drop("failed_rule")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(load(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
 QUERIES = {
+    "op5_mixing": op5_mixing,
+    "op6_pii": op6_pii,
+    "op7_langid": op7_langid,
+    "op8_quality": op8_quality,
     "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_mixing": mixing.ORACLE_SQL,
+}
