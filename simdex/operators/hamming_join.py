@@ -2,129 +2,156 @@
 
 Two exact plans:
 
-* ``nested``: broadcast the (tiny, size-checked) side and test
-  ``bit_count(a ^ b) <= k`` per pair (BroadcastNestedLoopJoin).  Work grows with
-  |left| x |right|, so it is used only when one side has at most
-  ``nested_max_rows`` hashes.
+* ``nested``: broadcast a side proven to hold at most ``NESTED_MAX_ROWS`` hashes and
+  test ``bit_count(a ^ b) <= k`` per pair.  A caller may ask for it; a side that is
+  larger still goes the banded way.
 * ``banded``: multi-index hashing (Norouzi, Punjani, Fleet 2012; Manku et al.
-  2007).  The 64 bits are cut into 4 bands of 16; if ``d(a, b) <= k`` some band
-  differs in at most ``r = k // 4`` bits (pigeonhole).  The side with fewer
-  hashes is expanded to every band value within ``r`` bits, the other emits its
-  4 band values, and an
-  equi-join on ``(band, value)`` produces candidates, which are then checked on all
-  64 bits.  A pair is kept only from the first band that admits it, so no
-  ``distinct`` is needed.  The equi-join is broadcast only under a size check;
-  otherwise it shuffles on ``(band, value)``.
-
-Inputs should hold distinct hashes (callers aggregate first), so repeated
-content never multiplies the candidates.
+  2007).  The 64 bits are cut into m bands with radii r_i such that
+  ``sum(r_i + 1) = k + 1``; if ``d(a, b) <= k`` some band i differs in at most r_i
+  bits.  The side with fewer hashes is expanded to every band value within r_i, the
+  other emits its m band values, an equi-join on ``(band, value)`` gives
+  candidates, and those are checked on all 64 bits.  A pair is kept only from the
+  first band that admits it, so no ``distinct`` is needed.
+
+m follows from the sizes: few wide bands cost many expanded rows and admit few
+chance pairs, many narrow bands the reverse, and ``band_layout`` takes the
+cheapest.  As the sides grow the bands widen, so the share of all pairs that
+become candidates falls.  Adaptive execution splits band values that are hot.
+
+Inputs should be stored tables of distinct hashes (callers aggregate first), so
+repeated content never multiplies the candidates and sizes are counted once.
 """
 
 from __future__ import annotations
 
+from math import comb
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import broadcast_limit, has_at_most
+from ..functions.hexcodec import hamming
+from .sizing import is_small, materialize, n_rows
 
-BANDS = 4
-BAND_BITS = 16
-BAND_MASK = (1 << BAND_BITS) - 1
 NESTED_MAX_ROWS = 64
+#: No layout expands a hash into more rows than this.
+MAX_PROBES = 20_000
+
+
+def layout(m: int, k: int) -> list[tuple[int, int, int]]:
+    """``m`` bands as (first bit, width, radius)."""
+    out, start = [], 0
+    for j in range(m):
+        width = 64 // m + (j < 64 % m)
+        radius = (k + 1) // m + (j < (k + 1) % m) - 1
+        out.append((start, width, radius))
+        start += width
+    return out
+
+
+def probes(bands: list[tuple[int, int, int]]) -> int:
+    return sum(comb(w, i) for _, w, r in bands for i in range(r + 1))
+
 
+def candidate_share(bands: list[tuple[int, int, int]]) -> float:
+    """Share of all pairs of even random hashes that become candidates."""
+    return min(1.0, sum(sum(comb(w, i) for i in range(r + 1)) / 2 ** w for _, w, r in bands))
 
-def band_masks(radius: int) -> list[int]:
-    """All 16-bit XOR masks with at most ``radius`` bits set."""
-    return [m for m in range(1 << BAND_BITS) if bin(m).count("1") <= radius]
 
+def band_layout(k: int, n_small: int, n_large: int) -> list[tuple[int, int, int]]:
+    """The layout with the fewest expanded, plain and (for even bits) candidate rows."""
+    def cost(m: int) -> float:
+        bands = layout(m, k)
+        return n_small * probes(bands) + n_large * m + n_small * n_large * candidate_share(bands)
+    fit = [m for m in range(1, min(k + 1, 64) + 1) if probes(layout(m, k)) <= MAX_PROBES]
+    return layout(min(fit, key=cost), k)
 
-def _band(h, j: int):
-    return F.shiftright(h, BAND_BITS * j).bitwiseAND(F.lit(BAND_MASK))
 
+def band_masks(width: int, radius: int) -> list[int]:
+    """All XOR masks of ``width`` bits with at most ``radius`` bits set."""
+    masks = [0]
+    last = [(0, 0)]  # mask, next free bit
+    for _ in range(radius):
+        last = [(m | 1 << b, b + 1) for m, free in last for b in range(free, width)]
+        masks += [m for m, _ in last]
+    return masks
 
-def _band_distance(a, b, j: int):
-    return F.bit_count(_band(a, j).bitwiseXOR(_band(b, j)))
+
+def _band(h, start: int, width: int):
+    part = F.shiftrightunsigned(h, start)
+    return part if width == 64 else part.bitwiseAND(F.lit((1 << width) - 1))
 
 
 def hamming_pairs(left: DataFrame, right: DataFrame, k: int, *, left_hash: str = "hash",
                   right_hash: str = "qhash", strategy: str = "auto",
                   nested_max_rows: int = NESTED_MAX_ROWS,
-                  keys: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+                  keys: tuple[tuple[str, str], ...] = (),
+                  ordered: tuple[str, str] | None = None) -> DataFrame:
     """All ``(left row, right row, distance)`` with ``bit_count(l ^ r) <= k``.
 
     ``keys`` are extra ``(left column, right column)`` equalities (e.g. the chunk
-    size); they become hash-join keys in both plans.  Column names of the two sides
-    must not overlap.  ``right`` is the side that
-    is expanded (banded) or broadcast (nested) first; if only ``left`` is tiny the
-    nested plan broadcasts ``left`` instead.
+    size); they become hash-join keys in both plans.  ``ordered`` keeps pairs whose
+    left column is smaller than the right one (a self-join's half), before the
+    check of the 64 bits.  Column names of the two sides must not overlap.
     """
     if k < 0:
         raise ValueError("k must be >= 0")
-    lh, rh = F.col(left_hash), F.col(right_hash)
-    dist = F.bit_count(lh.bitwiseXOR(rh)).cast("int")
-    if strategy == "auto":
-        if has_at_most(right, nested_max_rows):
-            strategy = "nested"
-        elif has_at_most(left, nested_max_rows):
-            strategy = "nested_left"
-        else:
-            strategy = "banded"
-    if strategy in ("nested", "nested_left"):
-        cond = dist <= k
-        for lk, rk in keys:
-            cond = (F.col(lk) == F.col(rk)) & cond
-        if strategy == "nested":
-            joined = left.join(F.broadcast(right), cond, "inner")
-        else:
-            joined = F.broadcast(left).join(right, cond, "inner")
-        return joined.withColumn("distance", dist)
-    if strategy != "banded":
+    if strategy not in ("auto", "nested", "banded"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    return _banded(left, right, k, left_hash, right_hash, keys)
-
-
-def _band_rows(df: DataFrame, hash_col: str, masks: list[int] | None) -> DataFrame:
-    """One row per band (and per mask when ``masks`` is given): ``__band, __bval``."""
-    cols = df.columns
-    banded = df.select("*", F.posexplode(F.array(*[_band(F.col(hash_col), j)
-                                                   for j in range(BANDS)])).alias("__band", "__v0"))
-    if masks is None:
-        return banded.withColumnRenamed("__v0", "__bval")
-    return (banded.select(*cols, "__band", "__v0",
-                          F.explode(F.array(*[F.lit(m) for m in masks])).alias("__mask"))
-            .select(*cols, "__band", F.col("__v0").bitwiseXOR(F.col("__mask")).alias("__bval")))
-
-
-def _banded(left, right, k, left_hash, right_hash, keys):
-    r = k // BANDS
-    masks = band_masks(r)
-    lcols, rcols = left.columns, right.columns
-    # expand the side with fewer hashes (x 4 x len(masks) rows); the other emits 4 rows each
-    n_left, n_right = left.count(), right.count()
-    expand_right = n_right <= n_left
-    lrows = _band_rows(left, left_hash, None if expand_right else masks)
-    rrows = _band_rows(right, right_hash, masks if expand_right else None)
-    limit = broadcast_limit(left)
-    expanded_rows = BANDS * len(masks) * min(n_left, n_right)
-    plain_rows = BANDS * max(n_left, n_right)
-    if expanded_rows <= limit:
-        if expand_right:
-            rrows = F.broadcast(rrows)
-        else:
-            lrows = F.broadcast(lrows)
-    elif plain_rows <= limit:
-        if expand_right:
-            lrows = F.broadcast(lrows)
-        else:
-            rrows = F.broadcast(rrows)
-    on = [lrows["__band"] == rrows["__band"], lrows["__bval"] == rrows["__bval"]]
-    on += [lrows[lk] == rrows[rk] for lk, rk in keys]
-    joined = lrows.join(rrows, on, "inner")
-    lh, rh = F.col(left_hash), F.col(right_hash)
-    dist = F.bit_count(lh.bitwiseXOR(rh)).cast("int")
-    # keep a pair only from the first band whose distance is within r
-    cond = dist <= k
-    for j in range(BANDS - 1):
-        cond = cond & ((lrows["__band"] <= j) | (_band_distance(lh, rh, j) > r))
-    return (joined.where(cond)
-            .select(*[lrows[c] for c in lcols], *[rrows[c] for c in rcols], dist.alias("distance")))
+    dist = hamming(left_hash, right_hash)
+    extra = [F.col(lk) == F.col(rk) for lk, rk in keys]
+    if ordered:
+        extra.append(F.col(ordered[0]) < F.col(ordered[1]))
+    if strategy != "banded":
+        right = materialize(right)
+        cond = dist <= k
+        for e in extra:
+            cond = e & cond
+        if n_rows(right) <= nested_max_rows or keys and is_small(right) and few_per_key(
+                right, [r for _, r in keys], nested_max_rows):
+            return left.join(F.broadcast(right), cond, "inner").withColumn("distance", dist)
+        left = materialize(left)
+        if n_rows(left) <= nested_max_rows:
+            return F.broadcast(left).join(right, cond, "inner").withColumn("distance", dist)
+    return _banded(materialize(left), materialize(right), k, left_hash, right_hash, extra, keys)
+
+
+def few_per_key(table: DataFrame, keys: list[str], most: int = NESTED_MAX_ROWS) -> bool:
+    """Whether no key of a stored table has more than ``most`` rows."""
+    per_key = table.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return (per_key or 0) <= most
+
+
+def _band_rows(df: DataFrame, hash_col: str, bands, expand: bool) -> DataFrame:
+    """One row per band (and per mask of the band if ``expand``): ``__band, __bval``."""
+    h = F.col(hash_col)
+    values = []
+    for j, (start, width, radius) in enumerate(bands):
+        v = _band(h, start, width)
+        masks = F.array(*map(F.lit, band_masks(width, radius))) if expand else F.array(F.lit(0))
+        values.append(F.struct(F.lit(j).alias("j"), v.alias("v"), masks.cast("array<bigint>").alias("masks")))
+    rows = df.select("*", F.explode(F.array(*values)).alias("__b"))
+    if not expand:
+        return rows.select(*df.columns, F.col("__b.j").alias("__band"), F.col("__b.v").alias("__bval"))
+    return (rows.select(*df.columns, F.col("__b.j").alias("__band"), F.col("__b.v").alias("__v"),
+                        F.explode("__b.masks").alias("__m"))
+            .select(*df.columns, "__band", F.col("__v").bitwiseXOR(F.col("__m")).alias("__bval")))
+
+
+def _banded(left, right, k, left_hash, right_hash, extra, keys):
+    n_left, n_right = n_rows(left), n_rows(right)
+    bands = band_layout(k, min(n_left, n_right), max(n_left, n_right))
+    lrows = _band_rows(left, left_hash, bands, n_left < n_right).withColumnRenamed("__band", "__lband") \
+        .withColumnRenamed("__bval", "__lval")
+    rrows = _band_rows(right, right_hash, bands, n_left >= n_right)
+    cond = (F.col("__lband") == F.col("__band")) & (F.col("__lval") == F.col("__bval"))
+    for e in extra:
+        cond = cond & e
+    joined = lrows.join(rrows, cond, "inner")
+    dist = hamming(left_hash, right_hash)
+    # keep a pair only from the first band whose distance is within its radius
+    first = dist <= k
+    for j, (start, width, radius) in enumerate(bands[:-1]):
+        apart = F.bit_count(_band(F.col(left_hash), start, width)
+                            .bitwiseXOR(_band(F.col(right_hash), start, width)))
+        first = first & ((F.col("__band") <= j) | (apart > radius))
+    return joined.where(first).select(*left.columns, *right.columns, dist.alias("distance"))

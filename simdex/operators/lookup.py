@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.validate import DEFAULT_MAX_DISTANCE, query_reject_reason
-from .hamming_join import NESTED_MAX_ROWS, hamming_pairs
-from .sizing import broadcast_limit, has_at_most, join_small, materialize
+from .hamming_join import NESTED_MAX_ROWS, few_per_key, hamming_pairs
+from .sizing import is_small, join_small, materialize, n_rows
 
 MATCH_COLUMNS = ("query_id", "doc_id", "chunk_idx", "offset", "size", "hash",
                  "distance", "match_type")
@@ -49,28 +49,23 @@ def hash_pairs(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DISTA
     right = materialize(valid_queries(queries)
                         .select(*[F.col(c).alias(f"__q_{c}") for c in on], "qhash").distinct())
     keys = tuple((c, f"__q_{c}") for c in on)
-    if strategy in ("auto", "nested") and _few_per_key(right, [k2 for _, k2 in keys]):
-        left = chunks.select(*on, "hash")
-        pairs = hamming_pairs(left, right, k, strategy="nested", keys=keys)
-    else:
-        left = materialize(chunks.select(*on, "hash").distinct())
-        pairs = hamming_pairs(left, right, k, strategy=strategy, keys=keys)
+    left = chunks.select(*on, "hash")
+    if strategy == "banded" or not _few(right, [q for _, q in keys]):
+        left, strategy = left.distinct(), "banded"
+    pairs = hamming_pairs(left, right, k, strategy=strategy, keys=keys)
     return materialize(pairs.select(*on, "qhash", "hash", "distance").distinct())
 
 
-def _few_per_key(right: DataFrame, keys: list[str]) -> bool:
-    """Is the (materialised) query side small enough for the nested plan?
+def _few(right: DataFrame, keys: list[str]) -> bool:
+    """Is the (stored) query side small enough for the nested plan?
 
     Without keys: at most NESTED_MAX_ROWS hashes.  With keys the nested plan is a
     broadcast hash join on the keys plus the bit-count filter, so what matters is
     the number of query hashes per key (and that the side fits a broadcast).
     """
     if not keys:
-        return has_at_most(right, NESTED_MAX_ROWS)
-    if not has_at_most(right, broadcast_limit(right)):
-        return False
-    per_key = right.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return (per_key or 0) <= NESTED_MAX_ROWS
+        return n_rows(right) <= NESTED_MAX_ROWS
+    return is_small(right) and few_per_key(right, keys)
 
 
 def _expand(pairs: DataFrame, chunks: DataFrame, queries: DataFrame,
@@ -94,8 +89,8 @@ def lookup_exact(chunks: DataFrame, queries: DataFrame, *, on: tuple[str, ...] =
 def lookup_fuzzy(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DISTANCE, *,
                  on: tuple[str, ...] = (), strategy: str = "auto") -> DataFrame:
     """M3: all chunks within distance k (distinct hashes compared once, then expanded)."""
-    pairs = hash_pairs(chunks, queries, k, on=on, strategy=strategy)
-    return _expand(pairs, chunks, valid_queries(queries), on)
+    q = materialize(valid_queries(queries).select(*on, "query_id", "qhash"))
+    return _expand(hash_pairs(chunks, q, k, on=on, strategy=strategy), chunks, q, on)
 
 
 def lookup(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DISTANCE, *,
@@ -105,7 +100,7 @@ def lookup(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DISTANCE,
     ``scope='file'`` decides the fallback per (query, doc_id), as the reference does
     per index file; ``scope='corpus'`` decides it per query over all documents.
     """
-    q = valid_queries(queries)
+    q = materialize(valid_queries(queries).select(*on, "query_id", "qhash"))
     pairs = hash_pairs(chunks, q, k, on=on, strategy=strategy)
     if scope == "corpus":
         best = pairs.groupBy(*on, "qhash").agg(F.min("distance").alias("__best"))
@@ -115,10 +110,12 @@ def lookup(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DISTANCE,
         return _expand(kept, chunks, q, on)
     if scope != "file":
         raise ValueError(f"unknown scope {scope!r}")
-    exact = _expand(pairs.where(F.col("distance") == 0), chunks, q, on)
-    fuzzy = _expand(pairs.where(F.col("distance") > 0), chunks, q, on)
-    exact_keys = exact.select("query_id", "doc_id").distinct()
-    return exact.unionByName(fuzzy.join(exact_keys, ["query_id", "doc_id"], "left_anti"))
+    # one expansion; a (query, file) with an exact hit keeps its exact hits only
+    hits = materialize(_expand(pairs, chunks, q, on))
+    best = hits.groupBy("query_id", "doc_id").agg(F.min("distance").alias("__best"))
+    fuzzy_only = best.where(F.col("__best") > 0).select("query_id", "doc_id")
+    exact = hits.where(F.col("distance") == 0)
+    return exact.unionByName(hits.join(fuzzy_only, ["query_id", "doc_id"], "left_semi"))
 
 
 def unmatched_queries(queries: DataFrame, matches: DataFrame) -> DataFrame:

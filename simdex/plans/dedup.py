@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.simhash import DEFAULT_WORD_PATTERN, with_simhash, word_features
 from ..operators.hamming_join import hamming_pairs
-from ..operators.sizing import join_small, materialize
+from ..operators.sizing import materialize
 from .graph import connected_components
 
 DEFAULT_DEDUP_DISTANCE = 10
@@ -40,10 +40,10 @@ def near_duplicate_pairs(docs: DataFrame, k: int = DEFAULT_DEDUP_DISTANCE, *,
                          word_pattern: str = DEFAULT_WORD_PATTERN, with_jaccard: bool = True,
                          method: str = "arrow", strategy: str = "auto") -> DataFrame:
     """``(doc_a, doc_b, hash_a, hash_b, distance, kind[, jaccard])`` with doc_a < doc_b."""
-    # wordless documents all share hash -1; they are left out (cheap word count test)
-    worded = docs.where(F.size(word_features("content", word_pattern)) > 0)
-    fp = materialize(document_fingerprints(worded, features=features, shingle_n=shingle_n,
-                                           word_pattern=word_pattern, method=method))
+    # wordless documents all share hash -1; they are left out
+    fp = materialize(document_fingerprints(docs, features=features, shingle_n=shingle_n,
+                                           word_pattern=word_pattern, method=method)
+                     .where(F.col("n_features") > 0).select("doc_id", "hash"))
     groups = materialize(fp.groupBy("hash").agg(F.min("doc_id").alias("rep")))
     exact = (fp.join(groups, "hash").where(F.col("doc_id") != F.col("rep"))
              .select(F.col("rep").alias("doc_a"), F.col("doc_id").alias("doc_b"),
@@ -51,19 +51,20 @@ def near_duplicate_pairs(docs: DataFrame, k: int = DEFAULT_DEDUP_DISTANCE, *,
                      F.lit(0).alias("distance"), F.lit("exact").alias("kind")))
     left = groups.select("hash", F.col("rep").alias("rep_l"))
     right = groups.select(F.col("hash").alias("qhash"), F.col("rep").alias("rep_r"))
-    near = (hamming_pairs(left, right, k, strategy=strategy)
-            .where(F.col("rep_l") < F.col("rep_r"))
+    near = (hamming_pairs(left, right, k, strategy=strategy, ordered=("rep_l", "rep_r"))
             .select(F.col("rep_l").alias("doc_a"), F.col("rep_r").alias("doc_b"),
                     F.col("hash").alias("hash_a"), F.col("qhash").alias("hash_b"),
                     "distance", F.lit("near").alias("kind")))
     pairs = materialize(exact.unionByName(near))
     if not with_jaccard:
         return pairs
-    words = docs.select("doc_id", F.array_distinct(word_features("content", word_pattern))
-                        .alias("w"))
-    wa = words.select(F.col("doc_id").alias("doc_a"), F.col("w").alias("wa"))
-    wb = words.select(F.col("doc_id").alias("doc_b"), F.col("w").alias("wb"))
-    joined = join_small(wb, join_small(wa, pairs, "doc_a"), "doc_b")
+    # only documents that occur in a pair are tokenised, once
+    paired = pairs.select(F.col("doc_a").alias("doc_id")) \
+        .unionByName(pairs.select(F.col("doc_b").alias("doc_id"))).distinct()
+    words = materialize(docs.join(paired, "doc_id", "left_semi").select(
+        "doc_id", F.array_distinct(word_features("content", word_pattern)).alias("w")))
+    joined = (pairs.join(words.select(F.col("doc_id").alias("doc_a"), F.col("w").alias("wa")), "doc_a")
+              .join(words.select(F.col("doc_id").alias("doc_b"), F.col("w").alias("wb")), "doc_b"))
     inter = F.size(F.array_intersect("wa", "wb"))
     union = F.size("wa") + F.size("wb") - inter
     jac = F.when(union == 0, F.lit(1.0)).otherwise(inter / union)

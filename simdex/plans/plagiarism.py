@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.validate import DEFAULT_MAX_DISTANCE
 from ..operators.index import build_index
 from ..operators.lookup import hash_pairs
-from ..operators.sizing import join_small, materialize
+from ..operators.sizing import materialize
 
 DEFAULT_PLAGIARISM_CHUNK = 128
 
@@ -27,29 +27,33 @@ def plagiarism_matches(references: DataFrame, submissions: DataFrame, *,
                        method: str = "arrow", strategy: str = "auto") -> DataFrame:
     """``references(doc_id, content)`` and ``submissions(doc_id, content)`` ->
     ``(doc_id, ref_id, matched_chunks, n_chunks, share, mean_distance, min_distance)``."""
-    ref_idx = materialize(build_index(references, chunk_size, features=features, method=method) \
-        .select(F.col("doc_id").alias("ref_id"), F.col("chunk_idx").alias("ref_chunk"), "hash"))
-    sub_idx = materialize(build_index(submissions, chunk_size, stride=stride, features=features,
-                                      method=method).select("doc_id", "chunk_idx", "hash"))
-    queries = sub_idx.select(F.col("hash").alias("qhash")).distinct() \
+    # wordless chunks all share hash -1 and say nothing: they match nothing
+    ref = build_index(references, chunk_size, features=features, method=method)
+    ref_hashes = materialize(ref.where(F.col("n_words") > 0)
+                             .select(F.col("doc_id").alias("ref_id"), "hash").distinct())
+    sub = build_index(submissions, chunk_size, stride=stride, features=features, method=method)
+    sub_hashes = materialize(sub.where(F.col("n_words") > 0)
+                             .groupBy("doc_id", F.col("hash").alias("qhash"))
+                             .agg(F.count("*").cast("bigint").alias("n")))
+    queries = sub_hashes.select("qhash").distinct() \
         .withColumn("query_id", F.col("qhash").cast("string"))
-    pairs = hash_pairs(ref_idx, queries, k, strategy=strategy)
+    pairs = hash_pairs(ref_hashes, queries, k, strategy=strategy)
     best = pairs.groupBy("qhash").agg(F.min("distance").alias("__best"))
-    kept = materialize(pairs.join(best, "qhash")
-                       .where((F.col("distance") == 0) | (F.col("__best") > 0))
-                       .select("qhash", "hash", "distance"))
-    # submission chunk -> matched reference hashes -> reference documents
-    ref_hashes = ref_idx.select("ref_id", "hash").distinct()
-    hits = join_small(ref_hashes, kept, "hash")
-    per_chunk = join_small(sub_idx.withColumnRenamed("hash", "qhash"), hits, "qhash")
+    kept = pairs.join(best, "qhash") \
+        .where((F.col("distance") == 0) | (F.col("__best") > 0)).select("qhash", "hash", "distance")
+    # submission hash -> reference document, with how many chunk pairs and how far
+    hits = materialize(ref_hashes.join(kept, "hash").groupBy("qhash", "ref_id")
+                       .agg(F.count("*").cast("bigint").alias("m"), F.sum("distance").alias("sum_d"),
+                            F.min("distance").alias("min_d")))
     step = stride or chunk_size
     totals = submissions.select(
         "doc_id", F.ceil(F.octet_length("content") / F.lit(step)).cast("bigint").alias("n_chunks"))
-    scored = (per_chunk.groupBy("doc_id", "ref_id")
-              .agg(F.countDistinct("chunk_idx").cast("bigint").alias("matched_chunks"),
-                   F.round(F.avg("distance"), 6).alias("mean_distance"),
-                   F.min("distance").alias("min_distance")))
-    return (join_small(totals, scored, "doc_id")
+    n = F.col("n")
+    scored = (sub_hashes.join(hits, "qhash").groupBy("doc_id", "ref_id")
+              .agg(F.sum("n").cast("bigint").alias("matched_chunks"),
+                   F.round(F.sum(n * F.col("sum_d")) / F.sum(n * F.col("m")), 6).alias("mean_distance"),
+                   F.min("min_d").alias("min_distance")))
+    return (totals.join(scored, "doc_id")
             .select("doc_id", "ref_id", "matched_chunks", "n_chunks",
                     F.round(F.col("matched_chunks") / F.col("n_chunks"), 6).alias("share"),
                     "mean_distance", "min_distance"))

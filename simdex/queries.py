@@ -431,7 +431,8 @@ def _plag_sql():
     sub = O.index(D, PLAGIARISM_CHUNK, PLAGIARISM_STRIDE)
     pairs = (f"SELECT s.doc_id, s.chunk_idx, r.doc_id AS ref_id, "
              f"bit_count(xor(s.hash, r.hash)) AS distance FROM ({sub}) s JOIN ({ref}) r "
-             f"ON bit_count(xor(s.hash, r.hash)) <= {K} WHERE s.hash <> 0")
+             f"ON bit_count(xor(s.hash, r.hash)) <= {K} WHERE s.hash <> 0 "
+             f"AND s.n_words > 0 AND r.n_words > 0")
     kept = (f"SELECT * FROM (SELECT *, min(distance) OVER (PARTITION BY doc_id, chunk_idx) AS best "
             f"FROM ({pairs}) p) x WHERE distance = 0 OR best > 0")
     scored = (f"SELECT doc_id, ref_id, CAST(count(DISTINCT chunk_idx) AS BIGINT) AS matched_chunks, "

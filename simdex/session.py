@@ -64,3 +64,10 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path for a written table under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a work table's files, wherever the shared folder is."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
