@@ -5,12 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, mixing, pii, quality
+from . import bpe, jaccard_join, langid, mixing, pii, quality
 from .common import load
 
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(load(spark, sf_dir, "documents")).drop("row", "class")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents")).drop("source")
 
@@ -33,6 +37,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_jaccard": op4_jaccard,
     "op5_mixing": op5_mixing,
     "op6_pii": op6_pii,
     "op7_langid": op7_langid,
