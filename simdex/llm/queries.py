@@ -5,12 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard_join, langid, mixing, pii, quality
+from . import bpe, jaccard_join, langid, mixing, pii, quality, suffix_dedup
 from .common import load
 
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(load(spark, sf_dir, "documents"))
+
+
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(load(spark, sf_dir, "documents")).drop("row", "class")
 
@@ -37,6 +41,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op4_jaccard": op4_jaccard,
     "op5_mixing": op5_mixing,
     "op6_pii": op6_pii,
