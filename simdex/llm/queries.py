@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard_join, langid, mixing, pii, quality, suffix_dedup
+from . import bpe, jaccard_join, langid, mixing, pii, quality, suffix_dedup, token_counts
 from .common import load
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(load(spark, sf_dir, "documents")).drop("failed_rule")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_counts.sentence_pieces(public_tokenizers.path(PIECES))
+    return token_counts.token_counts(load(spark, sf_dir, "documents"), pieces)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(load(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
@@ -47,6 +53,7 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_langid": op7_langid,
     "op8_quality": op8_quality,
+    "op9_token_counts": op9_token_counts,
     "op10_bpe": op10_bpe,
 }
 
