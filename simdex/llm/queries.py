@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard_join, langid, mixing, pii, quality, suffix_dedup, token_counts
+from . import bpe, html_text, jaccard_join, langid, mixing, pii, quality, suffix_dedup, token_counts
 from .common import load
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -16,6 +16,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(load(spark, sf_dir, "documents"))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(load(spark, sf_dir, "pages"))
+
+
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(load(spark, sf_dir, "documents")).drop("row", "class")
 
@@ -48,6 +52,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op3_html": op3_html,
     "op4_jaccard": op4_jaccard,
     "op5_mixing": op5_mixing,
     "op6_pii": op6_pii,
