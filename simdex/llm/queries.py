@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, html_text, jaccard_join, langid, mixing, pii, quality, suffix_dedup, token_counts
+from . import ann, bpe, html_text, jaccard_join, langid, mixing, pii, quality, suffix_dedup, token_counts
 from .common import load
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -16,6 +17,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(load(spark, sf_dir, "documents"))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = load(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(load(spark, sf_dir, "pages"))
 
@@ -52,6 +58,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_ann": op2_ann,
     "op3_html": op3_html,
     "op4_jaccard": op4_jaccard,
     "op5_mixing": op5_mixing,
