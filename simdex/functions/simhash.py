@@ -2,7 +2,7 @@
 
 Definition (Charikar 2002; Manku, Jain, Das Sarma 2007):
 
-1. bytes -> string, lower-cased;
+1. bytes -> string, ASCII letters lower-cased (the words are ASCII);
 2. features = all matches of ``word_pattern`` (or n-word shingles of them);
 3. feature hash = first 64 bits of md5(feature) (or Spark's xxhash64);
 4. every occurrence has weight 1;
@@ -23,6 +23,7 @@ Both give the same bits.
 from __future__ import annotations
 
 import sys
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,12 @@ def as_text(c) -> Column:
 
 def word_features(c, word_pattern: str = DEFAULT_WORD_PATTERN) -> Column:
     """bag of words, ``array<string>`` in text order (duplicates kept)."""
-    return F.regexp_extract_all(F.lower(as_text(c)), F.lit(word_pattern), 0)
+    text = as_text(c)
+    if word_pattern == DEFAULT_WORD_PATTERN:
+        text = F.translate(text, ascii_uppercase, ascii_lowercase)
+    else:
+        text = F.lower(text)
+    return F.regexp_extract_all(text, F.lit(word_pattern), 0)
 
 
 def shingles(words, n: int = 3) -> Column:
@@ -106,22 +112,31 @@ def majority_vote(hashes: pa.ListArray, max_words: int = 1 << 18) -> np.ndarray:
     """Bit vote over a batch of feature-hash lists; returns int64 fingerprints.
 
     Rows are processed in slices of at most ``max_words`` features so the 64x bit
-    matrix stays small.
+    matrix stays small; a longer row is added up slice by slice.
     """
     offs = hashes.offsets.to_numpy().astype(np.int64)
     values = hashes.values.to_numpy(zero_copy_only=False)
     lens = np.diff(offs)
     out = np.full(len(hashes), NO_FEATURES_HASH, dtype=np.int64)
+
+    def bits(a, b):
+        vals = np.ascontiguousarray(values[a:b], dtype=np.int64)
+        return np.unpackbits(vals.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+
+    def packed(ones, n):
+        return np.packbits(2 * ones >= n, axis=1, bitorder="little").view("<i8").reshape(-1)
     row = 0
     while row < len(hashes):
         end = max(row + 1, int(np.searchsorted(offs, offs[row] + max_words, "right")) - 1)
-        sel = np.nonzero(lens[row:end])[0] + row
-        if len(sel):
-            vals = np.ascontiguousarray(values[offs[row]:offs[end]], dtype=np.int64)
-            bits = np.unpackbits(vals.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            ones = np.add.reduceat(bits, offs[sel] - offs[row], axis=0, dtype=np.int64)
-            major = 2 * ones >= lens[sel, None]
-            out[sel] = np.packbits(major, axis=1, bitorder="little").view("<i8").reshape(-1)
+        if lens[row] > max_words:
+            ones = sum(bits(a, min(a + max_words, offs[row + 1])).sum(axis=0, dtype=np.int64)
+                       for a in range(int(offs[row]), int(offs[row + 1]), max_words))
+            out[row] = packed(ones[None, :], lens[row])[0]
+        else:
+            sel = np.nonzero(lens[row:end])[0] + row
+            if len(sel):
+                ones = np.add.reduceat(bits(offs[row], offs[end]), offs[sel] - offs[row], axis=0, dtype=np.int64)
+                out[sel] = packed(ones, lens[sel, None])
         row = end
     return out
 

@@ -127,7 +127,8 @@ def _band_rows(df: DataFrame, hash_col: str, bands, expand: bool) -> DataFrame:
     values = []
     for j, (start, width, radius) in enumerate(bands):
         v = _band(h, start, width)
-        masks = F.array(*map(F.lit, band_masks(width, radius))) if expand else F.array(F.lit(0))
+        signed = [m - (1 << 64) if m >> 63 else m for m in band_masks(width, radius)] if expand else [0]
+        masks = F.array(*map(F.lit, signed))
         values.append(F.struct(F.lit(j).alias("j"), v.alias("v"), masks.cast("array<bigint>").alias("masks")))
     rows = df.select("*", F.explode(F.array(*values)).alias("__b"))
     if not expand:

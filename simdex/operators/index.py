@@ -37,20 +37,25 @@ def index_chunks(chunks: DataFrame, *, features: str = "word", shingle_n: int =
     """I1 for input that is already chunked (e.g. ``read_file_chunks``)."""
     out = with_simhash(chunks, "chunk", features=features, shingle_n=shingle_n,
                        word_pattern=word_pattern, token_hash=token_hash, method=method)
+    keep = (*keep, "path") if "path" in chunks.columns and "path" not in keep else keep
     return out.select(*keep, *[c for c in INDEX_COLUMNS if c not in keep])
 
 
+BUCKET_BLOCK = 4096
+
+
 def hash_buckets(chunks: DataFrame, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Positions per (file, hash), as the reference's ``HashToChunks``.
+    """Positions per (file, hash), as the reference's ``HashToChunks``, in blocks.
 
-    The list is bounded by the chunks of one file; a corpus-wide view should use
-    ``by=()`` only with ``n_chunks`` (no list).
+    A row holds the positions of one ``block`` of ``BUCKET_BLOCK`` chunk numbers, so no list grows
+    with the file.  A corpus-wide view (``by=()``) has ``n_chunks`` only (no list).
     """
-    keys = [*by, "hash"]
-    aggs = [F.count("*").cast("bigint").alias("n_chunks")]
-    if by:
-        aggs.insert(0, F.sort_array(F.collect_list("chunk_idx")).alias("chunk_idxs"))
-    return chunks.groupBy(*keys).agg(*aggs)
+    count = F.count("*").cast("bigint").alias("n_chunks")
+    if not by:
+        return chunks.groupBy("hash").agg(count)
+    block = F.floor(F.col("chunk_idx") / BUCKET_BLOCK).cast("int").alias("block")
+    return chunks.groupBy(*by, "hash", block).agg(
+        F.sort_array(F.collect_list("chunk_idx")).alias("chunk_idxs"), count)
 
 
 def index_summary(chunks: DataFrame, by: tuple[str, ...] = ("doc_id", "chunk_size")) -> DataFrame:

@@ -48,7 +48,8 @@ def match_count(queries: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 def report_lines(with_content: DataFrame, queries: DataFrame) -> DataFrame:
-    """The CLI report of each query as ordered lines, never gathered in one row.
+    """The CLI report of each query as ordered lines, never gathered in one row; a blank line
+    stands before a hit's separator and before the count.
 
     Order key: ``(query_id, part, distance, doc_id, offset, line_no)``; ``part`` 0 is a
     hit, 1 the summary.  ``write_report`` writes them range-partitioned by that key,
@@ -58,7 +59,8 @@ def report_lines(with_content: DataFrame, queries: DataFrame) -> DataFrame:
         F.struct(F.lit(0).alias("line_no"), F.format_string(FOUND_AT, F.col("offset")).alias("line")),
         F.struct(F.lit(1).alias("line_no"), F.lit(CONTENT_HEADER).alias("line")),
         F.struct(F.lit(2).alias("line_no"), F.col("text").alias("line")),
-        F.struct(F.lit(3).alias("line_no"), F.lit(SEPARATOR).alias("line")))
+        F.struct(F.lit(3).alias("line_no"), F.lit("").alias("line")),
+        F.struct(F.lit(4).alias("line_no"), F.lit(SEPARATOR).alias("line")))
     hits = (with_content
             .select("query_id", F.lit(0).alias("part"), "distance", "doc_id", "offset",
                     F.explode(hit_lines).alias("l"))
@@ -67,7 +69,7 @@ def report_lines(with_content: DataFrame, queries: DataFrame) -> DataFrame:
                .select("query_id", F.lit(1).alias("part"), F.lit(None).cast("int").alias("distance"),
                        F.lit(None).cast("bigint").alias("doc_id"),
                        F.lit(None).cast("bigint").alias("offset"),
-                       F.lit(0).alias("line_no"), F.col("summary").alias("line")))
+                       F.posexplode(F.array(F.lit(""), F.col("summary"))).alias("line_no", "line")))
     return hits.unionByName(summary)
 
 

@@ -1,65 +1,128 @@
 """Text search (W1, U4): chunk the corpus at the byte length of each query text,
 fingerprint, and look up the query's SimHash exact-first.
 
-The corpus is chunked once per distinct query length.  The distinct lengths are
-a short list of integers; they are read on the driver in passes of
-``lengths_per_pass`` and expanded as a literal array (a Generate, not a join),
-so the cost is (distinct lengths x corpus) with no cap on either.
+One pass over the corpus: a task tokenises and hashes each document once, takes the
+votes of the chunks of every query length from running sums
+(``functions.chunk_votes``), compares them with the queries of that length, and
+sends on hits only, with their bytes.  Nothing that doesn't match is written or
+shuffled.  Queries go to the tasks in blocks of ``QUERY_BLOCK`` rows (a broadcast of
+bounded size); more queries take more passes.
+
+Texts that can't be searched (NULL or empty: the chunk length would be 0; hash 0) and
+texts without a hit come out of ``unanswered`` with a reason.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.chunk_votes import WordBits, chunk_hashes
 from ..functions.simhash import with_simhash
 from ..functions.validate import DEFAULT_MAX_DISTANCE
-from ..operators.chunking import chunk_at_lengths
-from ..operators.lookup import lookup
-from ..operators.results import chunk_content
-from ..operators.sizing import materialize
+from ..operators.lookup import valid_queries
+from ..operators.sizing import materialize, n_rows
 
-LENGTHS_PER_PASS = 64
+QUERY_BLOCK = 50_000
+_PAIRS = 1 << 22          # hash pairs compared at a time
 
 
 def prepare_queries(queries: DataFrame, *, id_col: str = "query_id", text_col: str = "text",
                     method: str = "arrow") -> DataFrame:
-    """``(query_id, chunk_size, qhash)``; chunk size = byte length of the text.
+    """``(query_id, chunk_size, qhash)``; chunk size = byte length of the text (or bytes).
 
-    Empty texts are dropped: they would ask for chunk size 0 (the reference divides
-    by it).
+    NULL and empty texts have no hash; ``unanswered`` reports them.
     """
+    raw = F.col(text_col)
+    if queries.schema[text_col].dataType.simpleString() != "binary":
+        raw = F.encode(raw, "UTF-8")
     q = (queries.where(F.col(text_col).isNotNull())
-         .select(F.col(id_col).alias("query_id"),
-                 F.encode(F.col(text_col), "UTF-8").alias("__qbytes"))
+         .select(F.col(id_col).alias("query_id"), raw.alias("__qbytes"))
          .where(F.octet_length("__qbytes") > 0))
     q = with_simhash(q, "__qbytes", "qhash", n_features_col=None, method=method)
     return q.select("query_id", F.octet_length("__qbytes").cast("int").alias("chunk_size"), "qhash")
 
 
+def _hits(content: bytes, lengths: np.ndarray, by_length: dict[int, np.ndarray], hashes: np.ndarray, k: int,
+          bits: WordBits) -> list[tuple[int, int, int, int, int]]:
+    """``(query number, length, chunk number, hash, distance)`` of one document."""
+    out = []
+    for length, chunk, h in chunk_hashes(content, lengths, bits):
+        q = by_length[length]
+        step = max(1, _PAIRS // len(q))
+        for a in range(0, len(h), step):
+            d = np.bitwise_count((h[a:a + step, None] ^ hashes[q][None, :]).view(np.uint64))
+            for i, j in zip(*(x.tolist() for x in np.nonzero(d <= k))):
+                out.append((int(q[j]), length, int(chunk[a + i]), int(h[a + i]), int(d[i, j])))
+    return out
+
+
+def _search_block(docs: DataFrame, rows: list, k: int, scope: str, id_type: str) -> DataFrame:
+    """Hits of one block of queries in every document."""
+    ids = [r["query_id"] for r in rows]
+    sizes = np.array([r["chunk_size"] for r in rows], np.int64)
+    hashes = np.array([r["qhash"] for r in rows], np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast((ids, sizes, hashes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, sizes, hashes = shared.value
+        lengths = np.unique(sizes)
+        by_length = {n: np.nonzero(sizes == n)[0] for n in lengths.tolist()}
+        bits = WordBits()
+        for batch in batches:
+            out = []
+            for doc, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                raw = content.as_py()
+                if not raw:
+                    continue
+                hits = _hits(raw, lengths, by_length, hashes, k, bits)
+                if scope == "file":  # a query with an exact hit in the file has exact hits only
+                    exact = {h[0] for h in hits if h[4] == 0}
+                    hits = [h for h in hits if h[4] == 0 or h[0] not in exact]
+                for q, n, c, h, d in hits:
+                    piece = raw[c * n:(c + 1) * n]
+                    out.append((n, ids[q], doc, c, c * n, len(piece), h, d, "fuzzy" if d else "exact", piece))
+            cols = list(zip(*out)) if out else [[]] * 10
+            kinds = [pa.int32(), None, pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(),
+                     pa.string(), pa.binary()]
+            kinds[1] = pa.int64() if id_type == "bigint" else pa.int32() if id_type == "int" else pa.string()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
+                                             ["chunk_size", "query_id", "doc_id", "chunk_idx", "offset", "size",
+                                              "hash", "distance", "match_type", "content"])
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "content").mapInArrow(
+        run, f"chunk_size int, query_id {id_type}, doc_id bigint, chunk_idx int, offset bigint, size int, "
+             "hash bigint, distance int, match_type string, content binary")
+
+
 def search_corpus(docs: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DISTANCE, *,
                   scope: str = "corpus", id_col: str = "query_id", text_col: str = "text",
                   with_content: bool = True, method: str = "arrow",
-                  lengths_per_pass: int = LENGTHS_PER_PASS) -> DataFrame:
+                  block_rows: int = QUERY_BLOCK) -> DataFrame:
     """U4 (W1 for one query): hits of every query text in every document."""
-    q = materialize(prepare_queries(queries, id_col=id_col, text_col=text_col, method=method))
-    lengths = sorted(r[0] for r in q.select("chunk_size").distinct().collect())
-    if not lengths:
-        schema = ("chunk_size int, query_id string, doc_id bigint, chunk_idx int, offset bigint, "
-                  "size int, hash bigint, distance int, match_type string")
-        empty = docs.sparkSession.createDataFrame([], schema)
-        return chunk_content(empty, docs) if with_content else empty
-    results = []
-    for i in range(0, len(lengths), lengths_per_pass):
-        part = lengths[i:i + lengths_per_pass]
-        chunks = materialize(with_simhash(chunk_at_lengths(docs, part), "chunk", method=method)
-                             .drop("chunk"))
-        qp = q.where(F.col("chunk_size").isin(part))
-        results.append(lookup(chunks, qp, k, scope=scope, on=("chunk_size",)))
-    matches = reduce(DataFrame.unionByName, results)
-    return chunk_content(matches, docs) if with_content else matches
+    if scope not in ("file", "corpus"):
+        raise ValueError(f"unknown scope {scope!r}")
+    ids = queries.select(F.col(id_col).alias("query_id"), F.col(text_col).alias("text"))
+    id_type = ids.schema["query_id"].dataType.simpleString()
+    if id_type not in ("bigint", "int", "string"):
+        ids, id_type = ids.withColumn("query_id", F.col("query_id").cast("string")), "string"
+    q = materialize(valid_queries(prepare_queries(ids, method=method)))
+    n_blocks = max(1, -(-n_rows(q) // block_rows))
+    parts = []
+    for b in range(n_blocks):
+        rows = q.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b).collect()
+        parts.append(_search_block(docs, rows, k, scope, id_type))
+    hits = reduce(DataFrame.unionByName, parts)
+    if scope == "corpus":
+        hits = materialize(hits)
+        best = hits.groupBy("query_id").agg(F.min("distance").alias("__best"))
+        hits = hits.join(best, "query_id").where((F.col("distance") == 0) | (F.col("__best") > 0)) \
+            .select(*hits.columns)
+    return hits.withColumn("text", F.col("content").cast("string")) if with_content else hits.drop("content")
 
 
 def search_text(docs: DataFrame, text: str, k: int = DEFAULT_MAX_DISTANCE, *,
@@ -68,3 +131,17 @@ def search_text(docs: DataFrame, text: str, k: int = DEFAULT_MAX_DISTANCE, *,
     spark = docs.sparkSession
     queries = spark.createDataFrame([("q0", text)], "query_id string, text string")
     return search_corpus(docs, queries, k, scope=scope, with_content=with_content, method=method)
+
+
+def unanswered(queries: DataFrame, hits: DataFrame, *, id_col: str = "query_id", text_col: str = "text",
+               method: str = "arrow") -> DataFrame:
+    """``(query_id, reason)`` of every search text that has no hit, rejected ones included."""
+    q = queries.select(F.col(id_col).alias("query_id"), F.col(text_col).alias("text"))
+    empty = q.where(F.coalesce(F.octet_length("text"), F.lit(0)) == 0).select(
+        "query_id", F.when(F.col("text").isNull(), "search text is missing").otherwise("search text is empty")
+        .alias("reason"))
+    hashed = prepare_queries(q, method=method)
+    zero = hashed.where(F.col("qhash") == 0).select("query_id", F.lit("simhash value is required").alias("reason"))
+    rest = valid_queries(hashed).join(hits.select("query_id").distinct(), "query_id", "left_anti") \
+        .select("query_id", F.lit("no matches found").alias("reason"))
+    return empty.unionByName(zero).unionByName(rest)

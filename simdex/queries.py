@@ -20,7 +20,7 @@ from .operators.results import (chunk_content, hash_log, lookup_report, match_co
 from .plans.dedup import dedup_documents, document_fingerprints, near_duplicate_pairs
 from .plans.distribution import content_distribution, distance_histogram, top_buckets
 from .plans.plagiarism import plagiarism_matches
-from .plans.search import prepare_queries, search_corpus
+from .plans.search import prepare_queries, search_corpus, unanswered
 from .operators.sizing import materialize
 from .session import work_path
 from .sources.documents import load_documents, read_table
@@ -150,11 +150,12 @@ def q_query_simhash(spark, sf):
 # ---------------------------------------------------------------- index views, store
 
 @register("hash_buckets",
-          f"SELECT doc_id, hash, array_to_string(list_sort(list(chunk_idx)), ',') AS chunk_list, "
-          f"CAST(count(*) AS BIGINT) AS n_chunks FROM ({IDX}) i GROUP BY doc_id, hash")
+          f"SELECT doc_id, hash, CAST(chunk_idx // 4096 AS INTEGER) AS block, "
+          f"array_to_string(list_sort(list(chunk_idx)), ',') AS chunk_list, "
+          f"CAST(count(*) AS BIGINT) AS n_chunks FROM ({IDX}) i GROUP BY doc_id, hash, chunk_idx // 4096")
 def q_hash_buckets(spark, sf):
     b = hash_buckets(_index(spark, sf))
-    return b.select("doc_id", "hash", F.array_join("chunk_idxs", ",").alias("chunk_list"), "n_chunks")
+    return b.select("doc_id", "hash", "block", F.array_join("chunk_idxs", ",").alias("chunk_list"), "n_chunks")
 
 
 @register("index_summary",
@@ -325,13 +326,14 @@ def q_match_count(spark, sf):
 
 @register("report_text",
           f"SELECT query_id, 0 AS part, distance, doc_id, \"offset\", line_no, line FROM "
-          f"(SELECT m.*, unnest([0, 1, 2, 3]) AS line_no, unnest(["
+          f"(SELECT m.*, unnest([0, 1, 2, 3, 4]) AS line_no, unnest(["
           f"'Query found in chunk at byte offset: ' || \"offset\", 'Chunk content:', "
-          f"md5(content), '---']) AS line FROM ({CONTENT}) m) x "
-          f"UNION ALL SELECT q.query_id, 1, NULL, NULL, NULL, 0, CASE WHEN count(m.query_id) = 0 "
+          f"md5(content), '', '---']) AS line FROM ({CONTENT}) m) x "
+          f"UNION ALL SELECT query_id, 1, NULL, NULL, NULL, unnest([0, 1]), unnest(['', s]) FROM ("
+          f"SELECT q.query_id, CASE WHEN count(m.query_id) = 0 "
           f"THEN 'No matches found for query.' ELSE 'Query found ' || count(m.query_id) || "
-          f"' indexed chunk(s).' END FROM ({Q}) q LEFT JOIN ({LOOKUP_FILE}) m "
-          f"ON q.query_id = m.query_id GROUP BY q.query_id")
+          f"' indexed chunk(s).' END AS s FROM ({Q}) q LEFT JOIN ({LOOKUP_FILE}) m "
+          f"ON q.query_id = m.query_id GROUP BY q.query_id) y")
 def q_report_text(spark, sf):
     docs = _docs(spark, sf)
     q = _bench_queries(spark, sf)
@@ -492,10 +494,178 @@ def q_incremental(spark, sf):
     out, ckpt = work_path(spark, "stream-index"), work_path(spark, "stream-ckpt")
     q = incremental_index(stream, CHUNK, out, ckpt)
     q.awaitTermination()
-    return spark.read.parquet(out).select(
+    return read_index(spark, out, CHUNK).select(
         "doc_id", "chunk_size", "chunk_idx", "offset", "size", "n_words", "hash")
 
 
+@register("incremental_append", IDX)
+def q_incremental_append(spark, sf):
+    """Even documents as a batch index; odd ones streamed into it in two runs of one stream."""
+    from .streaming.incremental import document_stream, incremental_index
+    docs = read_table(spark, sf, "documents")
+    out, ckpt, inbox = (work_path(spark, n) for n in ("index", "stream-ckpt", "inbox"))
+    even = F.col("doc_id") % 2 == 0
+    write_index(build_index(load_documents(spark, sf).where(even), CHUNK), out)
+    for third in (1, 3):
+        docs.where(F.col("doc_id") % 4 == third).write.parquet(f"{inbox}/run={third}")
+        stream = document_stream(spark, f"{inbox}/*", docs.schema)
+        incremental_index(stream, CHUNK, out, ckpt).awaitTermination()
+    return read_index(spark, out, CHUNK).select(
+        "doc_id", "chunk_size", "chunk_idx", "offset", "size", "n_words", "hash")
+
+
+# ---------------------------------------------------------------- exact first, hex, rejects
+
+MIXED_Q = (f"SELECT query_id, min(hash) AS qhash FROM (SELECT 'd' || doc_id AS query_id, hash FROM ({IDX}) i "
+           f"WHERE chunk_idx = 0 AND doc_id % 25 = 0 AND hash <> 0) x GROUP BY query_id")
+MIXED_PAIRS = (f"SELECT q.query_id, c.doc_id, c.chunk_idx, c.\"offset\", c.size, c.hash, "
+               f"CAST(bit_count(xor(c.hash, q.qhash)) AS INTEGER) AS distance "
+               f"FROM ({IDX}) c JOIN ({MIXED_Q}) q ON bit_count(xor(c.hash, q.qhash)) <= {K}")
+
+
+def _mixed_sql(key):
+    return (f"SELECT query_id, doc_id, chunk_idx, \"offset\", size, hash, distance, "
+            f"CASE WHEN distance = 0 THEN 'exact' ELSE 'fuzzy' END AS match_type FROM "
+            f"(SELECT *, min(distance) OVER (PARTITION BY {key}) AS best FROM ({MIXED_PAIRS}) p) x "
+            f"WHERE distance = 0 OR best > 0")
+
+
+def _mixed(spark, sf, scope):
+    """Queries are first chunks of documents: exact there, in copies exact or near."""
+    idx = _stored_index(spark, sf)
+    q = (idx.where((F.col("chunk_idx") == 0) & (F.col("doc_id") % 25 == 0))
+         .groupBy(F.concat(F.lit("d"), F.col("doc_id")).alias("query_id")).agg(F.min("hash").alias("qhash")))
+    return lookup(idx, q, K, scope=scope)
+
+
+@register("lookup_mixed_file", _mixed_sql("query_id, doc_id"))
+def q_lookup_mixed_file(spark, sf):
+    return _mixed(spark, sf, "file")
+
+
+@register("lookup_mixed_corpus", _mixed_sql("query_id"))
+def q_lookup_mixed_corpus(spark, sf):
+    return _mixed(spark, sf, "corpus")
+
+
+@register("search_exact_hits",
+          f"SELECT 'd' || d.doc_id AS query_id, c.doc_id, c.chunk_idx FROM ({O.chunks(D, 300)}) c JOIN "
+          f"(SELECT doc_id, content[301:600] AS t FROM ({D}) d0 WHERE octet_length(content) >= 600 "
+          f"AND doc_id % 25 = 0) d ON c.chunk = d.t")
+def q_search_exact_hits(spark, sf):
+    """Texts cut from documents at aligned offsets, found again: the hits whose bytes agree."""
+    docs = _docs(spark, sf)
+    cut = docs.where((F.octet_length("content") >= 600) & (F.col("doc_id") % 25 == 0)) \
+        .select(F.concat(F.lit("d"), F.col("doc_id")).alias("query_id"),
+                F.substring("content", 301, 300).alias("bytes"))
+    # the search hashes the text's bytes, so a cut inside a character stays as it is
+    hits = search_corpus(docs, cut.withColumnRenamed("bytes", "text"), K, scope="file")
+    return hits.where(F.col("distance") == 0).alias("h").join(
+        cut.alias("q"), (F.col("h.query_id") == F.col("q.query_id")) & (F.col("h.content") == F.col("q.bytes"))) \
+        .select(F.col("h.query_id").alias("query_id"), "doc_id", "chunk_idx")
+
+
+HEX_Q = (f"SELECT query_id, CASE WHEN query_id LIKE 'z%' THEN '0' WHEN query_id LIKE 'x%' THEN 'g' || h ELSE h END AS hex "
+         f"FROM (SELECT CASE doc_id % 30 WHEN 0 THEN 'z' WHEN 1 THEN 'x' ELSE 'h' END || doc_id AS query_id, "
+         f"lower(hex(hash)) AS h FROM ({IDX}) i WHERE chunk_idx = 0 AND doc_id % 30 < 4) y")
+HEX_P = f"SELECT query_id, hex, {O.hex_parse('hex')} AS qhash FROM ({HEX_Q}) x"
+
+
+@register("lookup_hex",
+          f"WITH p AS MATERIALIZED ({HEX_P}), m AS (SELECT p.query_id, count(*) AS n, min(bit_count(xor(c.hash, p.qhash))) AS best "
+          f"FROM p JOIN ({IDX}) c ON bit_count(xor(c.hash, p.qhash)) <= {K} WHERE p.qhash <> 0 GROUP BY p.query_id) "
+          f"SELECT p.query_id, p.qhash, CASE WHEN p.qhash IS NULL THEN 'invalid hash' WHEN p.qhash = 0 THEN "
+          f"'simhash value is required' WHEN m.n IS NULL THEN 'no matches found' END AS reason, "
+          f"CAST(m.best AS INTEGER) AS best FROM p LEFT JOIN m ON p.query_id = m.query_id")
+def q_lookup_hex(spark, sf):
+    """Hex texts (good, zero, broken) -> parsed, looked up, or given a reason."""
+    idx = _stored_index(spark, sf)
+    kind = F.when(F.col("doc_id") % 30 == 0, "z").when(F.col("doc_id") % 30 == 1, "x").otherwise("h")
+    h = format_hex_hash("hash")
+    q = idx.where((F.col("chunk_idx") == 0) & (F.col("doc_id") % 30 < 4)).select(
+        F.concat(kind, F.col("doc_id")).alias("query_id"),
+        F.when(kind == "z", "0").when(kind == "x", F.concat(F.lit("g"), h)).otherwise(h).alias("hex"))
+    q = materialize(q.select("query_id", parse_hex_hash("hex").alias("qhash")))
+    hits = materialize(lookup(idx, q, K, scope="corpus"))
+    best = hits.groupBy("query_id").agg(F.min("distance").alias("best"))
+    return (q.join(unmatched_queries(q, hits).select("query_id", "reason"), "query_id", "left")
+            .join(best, "query_id", "left").select("query_id", "qhash", "reason", "best"))
+
+
+@register("search_unanswered",
+          "SELECT CAST(item_id AS VARCHAR) AS query_id, CASE item_id % 4 WHEN 0 THEN 'search text is missing' "
+          "ELSE 'search text is empty' END AS reason FROM benchmark WHERE item_id % 4 < 2")
+def q_search_unanswered(spark, sf):
+    """Of the benchmark texts every fourth is missing and every fourth empty; the others occur."""
+    i = F.col("item_id") % 4
+    q = read_table(spark, sf, "benchmark").select(
+        F.col("item_id").cast("string").alias("query_id"),
+        F.when(i == 0, F.lit(None)).when(i == 1, "").otherwise(F.col("text")).alias("text"))
+    return unanswered(q, search_corpus(load_documents(spark, sf, "benchmark", id_col="item_id"), q, K, with_content=False))
+
+
+@register("chain_components",
+          "WITH n AS (SELECT (doc_id * 7919 + 13) % 1000003 AS node, doc_id FROM documents) "
+          "SELECT node, min(node) OVER () AS component FROM n")
+def q_chain_components(spark, sf):
+    """One chain through all documents (each to the next id, which are consecutive), its numbers shuffled."""
+    from .plans.graph import connected_components
+    number = lambda c: (c * 7919 + 13) % 1000003
+    d = read_table(spark, sf, "documents").select("doc_id")
+    edges = d.select(number(F.col("doc_id")).alias("src"), number(F.col("doc_id") + 1).alias("dst"))
+    nodes = d.select(number(F.col("doc_id")).alias("node"))
+    inside = edges.join(nodes, F.col("dst") == F.col("node"), "left_semi")
+    return connected_components(nodes, inside)
+
+
+# ---------------------------------------------------------------- raw files
+
+FILES_BLOB = ("SELECT source AS doc_id, encode(string_agg(text || chr(10), '' ORDER BY doc_id)) AS content "
+              "FROM documents WHERE source IS NOT NULL AND text IS NOT NULL GROUP BY source")
+FILES_IDX = O.index(FILES_BLOB, CHUNK)
+
+
+def _raw_files(spark, sf):
+    """The documents as raw text files, one for each source."""
+    path = work_path(spark, "files")
+    (read_table(spark, sf, "documents").where("source is not null and text is not null")
+     .select("source", "doc_id", "text").repartition("source").sortWithinPartitions("source", "doc_id")
+     .select("source", "text").write.partitionBy("source").text(path))
+    return path
+
+
+def _files_index(spark, sf):
+    from .operators.index import index_chunks
+    from .sources.ranged_files import read_file_chunks
+    chunks = read_file_chunks(spark, _raw_files(spark, sf), CHUNK, recursive=True, range_bytes=16 * CHUNK)
+    path = write_index(index_chunks(chunks), work_path(spark, "index"))
+    return read_index(spark, path, CHUNK)
+
+
+@register("files_index", f"SELECT doc_id AS source, chunk_idx, \"offset\", size, n_words, hash FROM ({FILES_IDX}) i")
+def q_files_index(spark, sf):
+    return _files_index(spark, sf).select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"),
+                                          "chunk_idx", "offset", "size", "n_words", "hash")
+
+
+@register("files_lookup_report",
+          f"SELECT x.query_id, x.source, x.\"offset\", x.size, x.distance, "
+          f"hex(f.content[x.\"offset\" + 1:x.\"offset\" + x.size]) AS content_hex FROM "
+          f"(SELECT *, min(distance) OVER (PARTITION BY query_id, source) AS best FROM "
+          f"(SELECT q.query_id, c.doc_id AS source, c.\"offset\", c.size, CAST(bit_count(xor(c.hash, q.qhash)) AS INTEGER) "
+          f"AS distance FROM ({FILES_IDX}) c JOIN ({Q}) q ON bit_count(xor(c.hash, q.qhash)) <= {K} WHERE q.qhash <> 0) p) x "
+          f"JOIN ({FILES_BLOB}) f ON f.doc_id = x.source WHERE x.distance = 0 OR x.best > 0")
+def q_files_lookup_report(spark, sf):
+    """Hits in raw files, with the file they are in and their bytes read from it."""
+    from .sources.ranged_files import file_content
+    idx = materialize(_files_index(spark, sf))
+    hits = lookup(idx, _bench_queries(spark, sf), K)
+    paths = idx.select("doc_id", "path").distinct()
+    return file_content(hits.join(paths, "doc_id")).select(
+        "query_id", F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"), "offset", "size", "distance",
+        F.hex("content").alias("content_hex"))
+
+
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: search every benchmark text in the corpus (W1 per file), with content."""
     return q_search_text(spark, sf_dir)

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Session setting: number of partitions to spread a scan over.  Unset on a cluster,
-# the scan's own splits are kept and no shuffle is added.  In local mode (one
-# machine, test tables stored as one or a few Parquet row groups) the scan is
-# spread over the local cores by default.
+# Session setting: number of partitions to spread a scan over (tables stored as one or a
+# few Parquet row groups).  Unset, the scan's own splits are kept and no shuffle is added.
 SCAN_PARTITIONS_CONF = "simdex.scan.partitions"
 
 
@@ -20,11 +18,8 @@ def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     if partitions is None:
         conf = spark.conf.get(SCAN_PARTITIONS_CONF, None)
-        sc = spark.sparkContext
         if conf:
             partitions = int(conf)
-        elif sc.master.startswith("local"):
-            partitions = sc.defaultParallelism
     return df.repartition(partitions) if partitions else df
 
 
@@ -49,8 +44,9 @@ def scan_files(spark: SparkSession, path: str, *, glob: str | None = None,
                recursive: bool = False, partitions: int | None = None) -> DataFrame:
     """Raw files -> ``(doc_id, path, content BINARY)``, one row per file.
 
-    ``doc_id`` is the 64-bit xxhash of the path.  The binaryFile source holds a
-    file in one row, so single files must stay below 2 GB.
+    ``doc_id`` is the 64-bit xxhash of the path.  For whole-file work on files below 2 GB
+    (Spark holds a file in one row); indexes of files of any size are made from
+    ``ranged_files.read_file_chunks``, with the same names and ids.
     """
     reader = spark.read.format("binaryFile")
     if glob:

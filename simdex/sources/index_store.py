@@ -1,20 +1,25 @@
 """Index sink and source (S3, S4) as Parquet.
 
-``write_index`` replaces what is at the path (as the reference overwrites its
-file), partitioned by ``chunk_size`` so a reader of one size prunes the rest.
-``read_index`` fails on a missing path, on a path without a completed write
-(``_SUCCESS``) and on corrupt data; an empty but complete index reads as 0 rows.
+An index is a folder of parts (``part=<name>``), each partitioned by ``chunk_size`` so
+a reader of one size prunes the rest.  ``write_index`` replaces the whole index (as the
+reference overwrites its file) with one part; ``write_part`` adds or overwrites a single
+one.  A part counts once its write is complete (``_SUCCESS``).  ``read_index`` fails on
+a missing path, on a path without a complete part and on corrupt data; an empty but
+complete index reads as 0 rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.validate import default_index_path
+from ..session import drop_path
 
 INDEX_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()),
+    T.StructField("path", T.StringType()),  # of the file, for indexes of raw files
     T.StructField("chunk_idx", T.IntegerType()),
     T.StructField("offset", T.LongType()),
     T.StructField("size", T.IntegerType()),
@@ -22,49 +27,45 @@ INDEX_SCHEMA = T.StructType([
     T.StructField("hash", T.LongType()),
     T.StructField("chunk_size", T.IntegerType()),
 ])
+BASE_PART = "base"
 
 
 class IndexReadError(RuntimeError):
     pass
 
 
-def write_index(chunks: DataFrame, path: str | None = None, *, input_path: str | None = None,
-                bucket_table: str | None = None, buckets: int = 64) -> str:
-    """S3.  ``path`` defaults to ``<basename of input_path>.idx`` (P5).
-
-    ``bucket_table`` instead saves a table bucketed by ``hash``, so repeated
-    lookups join without shuffling the index.
-    """
+def write_part(chunks: DataFrame, path: str, name: str) -> None:
+    """Add the part ``name`` to the index at ``path``, or replace it."""
+    if "path" not in chunks.columns:
+        chunks = chunks.withColumn("path", F.lit(None).cast("string"))
     cols = [f.name for f in INDEX_SCHEMA.fields]
-    data = chunks.select(*cols)
-    if bucket_table:
-        (data.write.mode("overwrite").bucketBy(buckets, "hash").sortBy("hash")
-         .partitionBy("chunk_size").saveAsTable(bucket_table))
-        return bucket_table
+    chunks.select(*cols).write.mode("overwrite").partitionBy("chunk_size").parquet(f"{path}/part={name}")
+
+
+def write_index(chunks: DataFrame, path: str | None = None, *, input_path: str | None = None) -> str:
+    """S3.  ``path`` defaults to ``<basename of input_path>.idx`` (P5)."""
     if path is None:
         path = default_index_path(input_path or "")
-    data.write.mode("overwrite").partitionBy("chunk_size").parquet(path)
+    drop_path(chunks.sparkSession, path)
+    write_part(chunks, path, BASE_PART)
     return path
 
 
-def _fs_status(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs, p
-
-
 def read_index(spark: SparkSession, path: str, chunk_size: int | None = None) -> DataFrame:
-    """Read an index written by ``write_index``."""
+    """Every complete part of an index."""
     if not path:
-        raise IndexReadError("error: index file is required")
-    fs, p = _fs_status(spark, path)
-    if not fs.exists(p):
-        raise IndexReadError(f"error opening index file: {path} does not exist")
-    if not fs.getFileStatus(p).isDirectory() or \
-            not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
-        raise IndexReadError(f"error decoding index: {path} is not a complete index")
-    df = spark.read.schema(INDEX_SCHEMA).parquet(path)
+        raise IndexReadError("no index path given")
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    root = new(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        raise IndexReadError(f"{path}: no such index")
+    found = [str(s.getPath()) for s in fs.listStatus(root)
+             if s.getPath().getName().startswith("part=") and s.isDirectory()]
+    parts = [p for p in found if fs.exists(new(new(p), "_SUCCESS"))]
+    if not parts:
+        raise IndexReadError(f"{path}: not a complete index")
+    df = spark.read.schema(INDEX_SCHEMA).option("basePath", path).parquet(*parts)
     if chunk_size is not None:
         df = df.where(df.chunk_size == chunk_size)
     return df

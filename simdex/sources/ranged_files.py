@@ -1,140 +1,112 @@
-"""Chunked reading of large files (S1 beyond 2 GB) as a Python data source.
+"""Raw files in byte ranges (S1 of any size, R1 for files).
 
-``binaryFile`` holds a whole file in one row, which caps a file at 2 GB and puts
-it in one task.  This source plans one partition per byte range of
-``range_bytes`` (a multiple of the stride), so a single large file is read by
-many tasks, each seeking to its range and emitting the chunks that start in it.
-Listing happens on the driver (file names and sizes only); the bytes are read
-by the tasks through ``pyarrow.fs``, so local, HDFS and object-store paths work.
+Files are listed by Spark's own file source (its names, hidden-file rules, globs and
+recursion), without reading them.  A file becomes one row per range of
+``range_bytes`` (a multiple of the stride), ranges are spread over the tasks, and each
+task seeks to its ranges and emits the chunks that start in them as Arrow batches.
+Content of hits is fetched the same way: open, seek, read.
 
-Rows: ``path, chunk_size, chunk_idx, offset, size, chunk``; ``doc_id`` is added
-by Spark as ``xxhash64(path)``, the same key ``scan_files`` uses.
+Tasks open files through ``pyarrow.fs``, so local, HDFS and object-store paths work.
 """
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-FORMAT = "simdex_file_chunks"
+from ..functions.validate import validate_chunk_size
+
 DEFAULT_RANGE_BYTES = 64 << 20
-SCHEMA = ("path string, chunk_size int, chunk_idx int, offset bigint, size int, "
-          "chunk binary")
+BATCH_BYTES = 4 << 20
+SCHEMA = "path string, chunk_size int, chunk_idx int, offset bigint, size int, chunk binary"
 
+try:  # ship the code with the tasks (workers need not have the package)
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # pragma: no cover
+    pass
 
-class ByteRange(InputPartition):
-    def __init__(self, path: str, start: int, end: int, length: int):
-        self.path, self.start, self.end, self.length = path, start, end, length
 
+@contextmanager
+def open_file(path: str):
+    """A random-access file for a path as Spark's file source names it."""
+    from urllib.parse import unquote, urlparse
 
-def _filesystem(path: str):
     from pyarrow import fs
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
     if path.startswith("file:"):
-        path = path[len("file:"):]
-    return fs.LocalFileSystem(), path
-
-
-def _uri(path: str) -> str:
-    """Local paths as Hadoop writes them (``file:/abs/path``), as binaryFile reports them."""
-    import os
-    if "://" in path or path.startswith("file:"):
-        return path
-    return "file:" + os.path.abspath(path)
-
-
-def _list_files(path: str, glob: str | None):
-    import fnmatch
-    from pyarrow import fs
-    filesystem, p = _filesystem(path)
-    info = filesystem.get_file_info(p)
-    if info.type == fs.FileType.NotFound:
-        raise FileNotFoundError(path)
-    if info.type == fs.FileType.File:
-        infos = [info]
-    else:
-        infos = [i for i in filesystem.get_file_info(fs.FileSelector(p, recursive=True))
-                 if i.type == fs.FileType.File]
-    if "://" in path:
-        name = lambda i: path[: len(path) - len(p)] + i.path
+        with fs.LocalFileSystem().open_input_file(unquote(urlparse(path).path)) as f:
+            yield f
     else:
-        name = lambda i: _uri(i.path)
-    return [(name(i), i.size) for i in sorted(infos, key=lambda i: i.path)
-            if glob is None or fnmatch.fnmatch(i.base_name, glob)]
-
-
-def _positive(name: str, value: str) -> int:
-    v = int(value)
-    if v <= 0:
-        raise ValueError(f"invalid {name}: {v}")
-    return v
-
-
-class FileChunksReader(DataSourceReader):
-    def __init__(self, options):
-        self.path = options["path"]
-        self.glob = options.get("glob")
-        self.chunk_size = _positive("chunk size", options.get("chunk_size", "4096"))
-        self.stride = _positive("stride", options.get("stride", str(self.chunk_size)))
-        rb = int(options.get("range_bytes", str(DEFAULT_RANGE_BYTES)))
-        self.range_bytes = max(self.stride, rb - rb % self.stride)
-
-    def partitions(self):
-        parts = []
-        for path, size in _list_files(self.path, self.glob):
-            for start in range(0, size, self.range_bytes):
-                parts.append(ByteRange(path, start, min(size, start + self.range_bytes), size))
-        return parts or [ByteRange("", 0, 0, 0)]
-
-    def read(self, partition: ByteRange):
-        if partition.end <= partition.start:
-            return
-        filesystem, p = _filesystem(partition.path)
-        stop = min(partition.length, partition.end - self.stride + self.chunk_size)
-        stop = max(stop, partition.end)
+        filesystem, p = fs.FileSystem.from_uri(path)
         with filesystem.open_input_file(p) as f:
-            f.seek(partition.start)
-            data = f.read(stop - partition.start)
-        for off in range(partition.start, partition.end, self.stride):
-            piece = data[off - partition.start: off - partition.start + self.chunk_size]
-            yield (partition.path, self.chunk_size, off // self.stride, off, len(piece),
-                   bytes(piece))
-
+            yield f
 
-class FileChunksDataSource(DataSource):
-    @classmethod
-    def name(cls):
-        return FORMAT
 
-    def schema(self):
-        return SCHEMA
-
-    def reader(self, schema):
-        return FileChunksReader(self.options)
-
-
-# Ship the source's code with the tasks (workers need not have the package).
-try:
-    from pyspark import cloudpickle as _cloudpickle
-    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
-except (ImportError, AttributeError, ValueError):  # pragma: no cover
-    pass
+def list_files(spark: SparkSession, path: str, *, glob: str | None = None, recursive: bool = False) -> DataFrame:
+    """``(path, length)`` of the files, as Spark's file source lists them."""
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    return reader.load(path).select("path", "length")
 
 
 def read_file_chunks(spark: SparkSession, path: str, chunk_size: int, *,
-                     stride: int | None = None, glob: str | None = None,
+                     stride: int | None = None, glob: str | None = None, recursive: bool = False,
                      range_bytes: int = DEFAULT_RANGE_BYTES) -> DataFrame:
-    """Chunks of every file under ``path``, read in parallel byte ranges."""
-    spark.dataSource.register(FileChunksDataSource)
-    reader = (spark.read.format(FORMAT).option("path", path)
-              .option("chunk_size", str(chunk_size))
-              .option("stride", str(stride or chunk_size))
-              .option("range_bytes", str(range_bytes)))
-    if glob:
-        reader = reader.option("glob", glob)
-    df = reader.load()
+    """``(doc_id, path, chunk_size, chunk_idx, offset, size, chunk)`` of every file under ``path``;
+    ``doc_id`` is the 64-bit xxhash of the path."""
+    step = validate_chunk_size(chunk_size if stride is None else stride)
+    validate_chunk_size(chunk_size)
+    span = max(step, range_bytes - range_bytes % step)
+    files = list_files(spark, path, glob=glob, recursive=recursive).where("length > 0")
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(span).cast("bigint"))
+    ranges = files.select("path", "length", F.explode(starts).alias("start")).repartition("path", "start")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for b in batches:
+                for name, length, start in zip(*(c.to_pylist() for c in b.columns)):
+                    end = min(length, start + span)
+                    with open_file(name) as f:
+                        for at in range(start, end, max(step, BATCH_BYTES // step * step)):
+                            upto = min(end, at + max(step, BATCH_BYTES // step * step))
+                            f.seek(at)
+                            data = f.read(min(length, upto - 1 + chunk_size) - at)
+                            offs = list(range(at, upto, step))
+                            pieces = [data[o - at:o - at + chunk_size] for o in offs]
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([name] * len(offs), pa.string()), pa.array([chunk_size] * len(offs), pa.int32()),
+                                 pa.array([o // step for o in offs], pa.int32()), pa.array(offs, pa.int64()),
+                                 pa.array([len(p) for p in pieces], pa.int32()), pa.array(pieces, pa.binary())],
+                                ["path", "chunk_size", "chunk_idx", "offset", "size", "chunk"])
+        yield from rows()
+    df = ranges.mapInArrow(read, SCHEMA)
     return df.select(F.xxhash64("path").alias("doc_id"), *df.columns)
+
+
+def file_content(matches: DataFrame) -> DataFrame:
+    """R1 for files: ``matches`` (with ``path``, ``offset``, ``size``) plus their bytes as ``content``, read from
+    the files by range."""
+    cols = matches.columns
+    at = [cols.index(c) for c in ("path", "offset", "size")]
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            want = list(zip(*(b.column(i).to_pylist() for i in at)))
+            got: list[bytes] = [b""] * len(want)
+            for name in dict.fromkeys(w[0] for w in want):
+                with open_file(name) as f:
+                    for i, (n, offset, size) in enumerate(want):
+                        if n == name:
+                            f.seek(offset)
+                            got[i] = f.read(size)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.binary())], names=[*cols, "content"])
+    schema = ", ".join(f"`{c}` {t}" for c, t in matches.dtypes)
+    return matches.mapInArrow(fetch, f"{schema}, content binary")

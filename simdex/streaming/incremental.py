@@ -1,21 +1,24 @@
 """Incremental indexing (X1) with Structured Streaming.
 
 New document files arriving in a folder are chunked and fingerprinted by the
-same row-local plan as the batch index and appended to a Parquet index.  No
-operator keeps state, so the stream needs no watermark; the checkpoint records
-which files are done, so a restarted or failed run neither loses nor repeats a
-file.
+same row-local plan as the batch index.  Each micro-batch becomes a part of the index
+of its own, named after the stream's checkpoint and the batch number and
+overwritten as a whole, so a batch that is tried again repeats nothing, earlier parts
+stay as they are, and ``read_index`` sees a part once it is complete.  No operator
+keeps state, so the stream needs no watermark.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.validate import validate_chunk_size
 from ..operators.index import build_index
-from ..sources.index_store import INDEX_SCHEMA
+from ..sources.index_store import write_part
 
 
 def document_stream(spark: SparkSession, folder: str, schema, *, glob: str | None = None,
@@ -34,13 +37,13 @@ def document_stream(spark: SparkSession, folder: str, schema, *, glob: str | Non
 
 def incremental_index(stream: DataFrame, chunk_size: int, index_path: str, checkpoint: str, *,
                       available_now: bool = True, method: str = "arrow") -> StreamingQuery:
-    """Start the stream: documents -> chunk index rows appended under ``index_path``."""
+    """Start the stream: documents -> chunk index rows added to the index at ``index_path``."""
     validate_chunk_size(chunk_size)
-    cols = [f.name for f in INDEX_SCHEMA.fields]
-    rows = build_index(stream, chunk_size, method=method).select(*cols)
-    writer = (rows.writeStream.format("parquet").outputMode("append")
-              .option("path", index_path).option("checkpointLocation", checkpoint)
-              .partitionBy("chunk_size"))
+    name = "stream-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        write_part(build_index(batch, chunk_size, method=method), index_path, f"{name}-{batch_id}")
+    writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="10 seconds")
     return writer.start()

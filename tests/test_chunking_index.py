@@ -38,7 +38,7 @@ def test_index_hashes_and_views(spark):
     summ = index_summary(build_index(docs, 10)).collect()[0]
     assert (summ.n_chunks, summ.n_bytes, summ.n_distinct_hashes) == (4, 34, 4)
     b = hash_buckets(build_index(docs_df(spark, {1: "ab ab ab ab"}), 3)).collect()
-    assert [(r.chunk_idxs, r.n_chunks) for r in b] == [([0, 1, 2, 3], 4)]
+    assert [(r.block, r.chunk_idxs, r.n_chunks) for r in b] == [(0, [0, 1, 2, 3], 4)]
 
 
 def test_stride_overlaps(spark):

@@ -143,3 +143,42 @@ def test_banded_with_join_keys_equals_nested(spark):
     assert results[("nested", "file")]
     for qid, _, cs, _ in results[("nested", "file")]:
         assert cs == next(r[2] for r in qrows if r[0] == qid)
+
+
+def test_band_layouts_are_exact_and_get_finer():
+    import random as rnd
+    from simdex.operators.hamming_join import band_layout, band_masks, candidate_share, layout
+    r = rnd.Random(5)
+    for k in (0, 3, 10, 12):
+        for m in range(1, k + 2):
+            bands = layout(m, k)
+            assert sum(w for _, w, _ in bands) == 64 and sum(x + 1 for _, _, x in bands) == k + 1
+            for _ in range(30):
+                d = sum(1 << b for b in r.sample(range(64), r.randint(0, k)))
+                assert any(bin(d >> s & (1 << w) - 1).count("1") <= x for s, w, x in bands)
+    assert len(band_masks(16, 2)) == 137 and len(set(band_masks(9, 3))) == 130
+    shares = [candidate_share(band_layout(10, n, n)) for n in (10**3, 10**4, 10**5)]
+    assert shares[0] > shares[1] > shares[2]
+
+
+def test_banded_join_with_several_layouts(spark, monkeypatch):
+    from simdex.operators import hamming_join as hj
+    rnd = random.Random(9)
+    base = [rnd.getrandbits(64) - (1 << 63) for _ in range(40)]
+    near = [b ^ sum(1 << i for i in rnd.sample(range(63), rnd.randint(0, 13))) for b in base]
+    L = spark.createDataFrame([(h,) for h in set(base)], "hash bigint")
+    R = spark.createDataFrame([(h,) for h in set(near)], "qhash bigint")
+    for k, m in ((3, 1), (3, 4), (10, 3), (10, 11), (12, 4)):
+        monkeypatch.setattr(hj, "band_layout", lambda k, a, b, m=m: hj.layout(m, k))
+        got = sorted((r.hash, r.qhash, r.distance) for r in hamming_pairs(L, R, k, strategy="banded").collect())
+        want = sorted((a, b, d) for a in set(base) for b in set(near)
+                      if (d := bin((a ^ b) & (1 << 64) - 1).count("1")) <= k)
+        assert got == want
+
+
+def test_exact_first_scopes_differ(spark):
+    idx = index(spark, [(1, 0, 0, 10, 7), (2, 0, 0, 10, 6)])
+    q = queries(spark, [7])
+    by_file = sorted((r.doc_id, r.match_type) for r in lookup(idx, q, 3, scope="file").collect())
+    assert by_file == [(1, "exact"), (2, "fuzzy")]
+    assert [(r.doc_id, r.match_type) for r in lookup(idx, q, 3, scope="corpus").collect()] == [(1, "exact")]
