@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from simdex import queries as Q  # noqa: E402
+from simdex.operators.hamming_join import band_layout, candidate_share  # noqa: E402
 from simdex.operators.index import build_index  # noqa: E402
 from simdex.operators.lookup import lookup  # noqa: E402
 from simdex.session import get_session  # noqa: E402
@@ -67,6 +68,12 @@ def run(spark, sf_dir, scratch):
     return out
 
 
+def shares(n):
+    """Share of all pairs that the banded join takes as candidates for n hashes a side and for
+    ten times as many (even bits)."""
+    return [round(candidate_share(band_layout(Q.K, m, m)), 6) for m in (n, 10 * n)]
+
+
 def main():
     spark = get_session(f"local[{CPUS}]", CPUS * 2, app_name="simdex-bench",
                         extra={"spark.driver.memory": "16g",
@@ -81,6 +88,7 @@ def main():
     print(json.dumps({"metric": "total_query_time", "value": total, "unit": "sec",
                       "queries": times, "sf": sf_of(SF_DIR), "cpus": CPUS,
                       "text_mb": round(n_bytes / 1e6, 2),
+                      "dedup_candidate_share": shares(load_documents(spark, SF_DIR).count()),
                       "index_4096_mb_per_sec": round(n_bytes / 1e6 / times["index_4096"], 2)}))
 
 

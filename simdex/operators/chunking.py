@@ -49,25 +49,3 @@ def chunk_fixed(df: DataFrame, chunk_size: int, *, content_col: str = "content",
                        F.col("offset"),
                        F.octet_length(chunk).alias("size"),
                        chunk.alias("chunk")))
-
-
-def chunk_at_lengths(df: DataFrame, lengths: list[int], *, content_col: str = "content",
-                     keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """C1 at several chunk sizes at once: the sizes are a literal array, so the
-    product documents x sizes is a Generate, not a join."""
-    for size in lengths:
-        validate_chunk_size(size)
-    n = F.octet_length(F.col(content_col))
-    sizes = F.array(*[F.lit(int(s)) for s in lengths])
-    per_size = (df.where(n > 0)
-                .select(*[F.col(k) for k in keep], F.col(content_col).alias("__content"),
-                        F.explode(sizes).alias("chunk_size")))
-    offs = F.sequence(F.lit(0).cast("bigint"), (F.octet_length("__content") - 1).cast("bigint"),
-                      F.col("chunk_size").cast("bigint"))
-    exploded = per_size.select("*", F.explode(offs).alias("offset"))
-    chunk = F.substring(F.col("__content"), (F.col("offset") + 1).cast("int"),
-                        F.col("chunk_size"))
-    return exploded.select(*[F.col(k) for k in keep], "chunk_size",
-                           (F.col("offset") / F.col("chunk_size")).cast("int").alias("chunk_idx"),
-                           "offset", F.octet_length(chunk).alias("size"),
-                           chunk.alias("chunk"))

@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from simdex.operators.hamming_join import hamming_pairs
 from simdex.operators.lookup import lookup, lookup_exact, lookup_fuzzy, unmatched_queries
