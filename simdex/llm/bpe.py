@@ -31,11 +31,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.sizing import stored
 from .common import concat_ranges, small_batches
 
 #: Fixed value: the pattern that byte-level BPE of this vocabulary splits by.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LEXICON_PIECES = 32_768   # the most frequent pieces whose pre-tokens the lexicon holds
+LEXICON_LEAST = 2         # times the corpus has such a piece, at least
 CACHE_PIECES = 400_000    # pieces a task remembers at a time
 COUNT_PIECES = 400_000    # pieces a task counts before it hands the counts on
 CHUNK_CHARS = 2_000_000   # characters a task encodes side by side
@@ -311,13 +313,27 @@ def count_pieces(docs: DataFrame, text: str = "text") -> DataFrame:
             .groupBy("piece").agg(F.sum("n").alias("n")))
 
 
+def frequent_pieces(docs: DataFrame, text: str, size: int) -> list[str]:
+    """The ``size`` most frequent pieces of the corpus that it has ``LEXICON_LEAST`` times or more.
+
+    A histogram of the counts' logarithms (a few hundred rows) tells from which count on there
+    are about ``size`` pieces, so no more than these are ever sorted or sent to the driver."""
+    counts = stored(count_pieces(docs, text).where(F.col("n") >= LEXICON_LEAST), "pieces")
+    level = F.floor(F.log2("n") * 16).cast("int")
+    least, found = 0, 0
+    for row in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        least, found = row["level"], found + row["count"]
+        if found >= size:
+            break
+    top = counts.where(level >= least).orderBy(F.desc("n"), "piece").limit(size).collect()
+    return [r["piece"] for r in top]
+
+
 def build_lexicon(docs: DataFrame, vocab: Vocabulary, *, text: str = "text",
                   size: int = LEXICON_PIECES) -> bytes:
-    """The lexicon of the pre-tokens of the ``size`` most frequent pieces of the corpus
-    (counted over all texts; only those ``size`` rows reach the driver)."""
-    top = count_pieces(docs, text).orderBy(F.desc("n"), "piece").limit(size).collect()
+    """The lexicon of the pre-tokens of the most frequent pieces, counted over all texts."""
     pattern = regex.compile(PATTERN)
-    words = sorted({t.encode() for row in top for t in pattern.findall(row["piece"])})
+    words = sorted({t.encode() for p in frequent_pieces(docs, text, size) for t in pattern.findall(p)})
     return compile_lexicon(words, merge_words(words, vocab))
 
 

@@ -8,8 +8,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, work_path
-
 BATCH_ROWS = 1024
 BATCH_BYTES = "16m"
 
@@ -26,20 +24,6 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared work folder and read it back: computed once, columnar,
-    and safe against lost executors."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = work_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def shuffle_parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column, end to end, and the offsets of its rows (null: empty)."""
     if isinstance(column, pa.ChunkedArray):

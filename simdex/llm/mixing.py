@@ -32,7 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored
+from ..operators.sizing import stored
+from .common import small_batches
 
 BLOCK_WORDS = 256
 MAX_EPOCHS = 3
