@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_ROWS = 1024
-BATCH_BYTES = "16m"
+BATCH_BYTES = "8m"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

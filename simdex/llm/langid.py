@@ -38,7 +38,7 @@ EPOCHS = 3
 TABLE = 1 << 16           # weights of each hashed feature group
 LEXICON_MIN = 3           # times the sample has a word of the lexicon
 REACH, RESCALE = 60.0, 6  # largest gap of a word's scores; steps between rescalings
-CHUNK_BYTES = 5_000_000   # text a task labels side by side
+CHUNK_BYTES = 3_000_000   # text a task labels side by side
 
 
 def held_out(doc_id: str | Column) -> Column:
