@@ -362,8 +362,9 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     d = d.withColumn("uid", F.xxhash64("doc_id", "text"))  # rows of one uid are copies of each other
     found = stored(find_anchors(d), "anchors")
-    twice = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1") \
-        .select("key", (F.col("n") > HOT).alias("hot"))
+    # stored, so that the join back is of two plain shuffles and a hot key's rows can be split
+    twice = stored(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+                   .select("key", (F.col("n") > HOT).alias("hot")), "twice")
     per_doc = found.join(twice, "key").groupBy("uid") \
         .agg(F.collect_list(F.struct("first", "last", "key", "hot")).alias("found"))
     work = stored(gather(d.join(per_doc, "uid", "left"), kind), "work")
