@@ -192,7 +192,8 @@ def coarse_groups(texts: DataFrame) -> DataFrame:
     edges = rows.join(least, "key").where("node <> rep").select("node", "rep").distinct()
     found, _ = star_components(edges, src="node", dst="rep")
     found = stored(found, "coarse")
-    sizes = found.groupBy("component").agg(F.count("*").alias("size"))
+    # stored, so that the join back is of two plain shuffles and a large group's rows can be split
+    sizes = stored(found.groupBy("component").agg(F.count("*").alias("size")), "sizes")
     return found.join(sizes, "component").select("node", F.col("component").alias("grp"), "size")
 
 
