@@ -324,13 +324,17 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     rows = stored(sketches(docs, doc_id, text), "sketches")
     texts = stored(rows.where("n > 0").groupBy("node", "check").agg(
-        F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.count("*").alias("copies")), "texts")
+        F.min("doc_id").alias("doc_id"), F.min(F.struct("row", "doc_id")).alias("rep"), F.first("sig").alias("sig"),
+        F.count("*").alias("copies")), "texts")
     # what the documents look like as texts: no doc_id, no digest
     groups = coarse_groups(texts)
-    member = texts.join(groups, "node").select("node", "sig", "grp", "size", F.col("doc_id").alias("_id"))
-    source = docs.select(F.col(doc_id).alias("_id2"), F.col(text).cast("string").alias("text"))
+    # a text is fetched by one row that holds it: ids may repeat or be null
+    member = texts.join(groups, "node").select("node", "sig", "grp", "size", F.col("rep.doc_id").alias("_id"),
+                                               F.col("rep.row").alias("_row"))
+    source = docs.select(F.col(doc_id).alias("_id2"), row_hash(docs).alias("_row2"),
+                         F.col(text).cast("string").alias("text"))
     blocks = F.ceil(F.col("size") / BLOCK)
-    placed = (member.join(source, F.col("_id").eqNullSafe(F.col("_id2")))
+    placed = (member.join(source, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_row") == F.col("_row2")))
               .withColumn("block", F.pmod(F.xxhash64("node"), blocks)))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
     cells = placed.withColumn("other", other).withColumn(

@@ -202,6 +202,26 @@ def test_jaccard_join(odd_docs, odd_rows, no_docs, block, monkeypatch):
     assert kept[0].__fields__ == odd_docs.columns
 
 
+def test_jaccard_join_shared_ids(spark):
+    """Null and repeated ids whose texts have near copies: each text is checked on its own words."""
+    rng = random.Random(11)
+    rows = []
+    for g in range(6):
+        words = [rng.choice("abcdefgh") + str(rng.randrange(400)) for _ in range(80)]
+        ids = [None, None, 7, 7, 7, 100 + g]
+        for i, doc_id in enumerate(ids):
+            near = list(words)
+            if i:
+                near[i] = f"other{i}"
+            rows.append((doc_id, " ".join(near), "en", "a"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(3)
+    joined = jaccard_join.jaccard_join(docs)
+    want = list(brute_join(rows))
+    assert all(w[2] for w in want)
+    assert rows_of(joined.drop("row", "class")) == sorted(want, key=str)
+    assert jaccard_join.drop_near_copies(docs, joined).count() == 6
+
+
 def test_bayesian_pruning():
     assert jaccard_join.least_matches(36, 0.8, 1e-7) > 5
     # P(J >= t | m of n) by integration of the Beta posterior
