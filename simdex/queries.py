@@ -21,7 +21,7 @@ from .plans.dedup import dedup_documents, document_fingerprints, near_duplicate_
 from .plans.distribution import content_distribution, distance_histogram, top_buckets
 from .plans.plagiarism import plagiarism_matches
 from .plans.search import prepare_queries, search_corpus, unanswered
-from .operators.sizing import materialize
+from .operators.sizing import materialize, stored
 from .session import work_path
 from .sources.documents import load_documents, read_table
 from .sources.index_store import read_index, write_index
@@ -608,14 +608,32 @@ def q_search_unanswered(spark, sf):
           "WITH n AS (SELECT (doc_id * 7919 + 13) % 1000003 AS node, doc_id FROM documents) "
           "SELECT node, min(node) OVER () AS component FROM n")
 def q_chain_components(spark, sf):
-    """One chain through all documents (each to the next id, which are consecutive), its numbers shuffled."""
+    """One chain through all documents (each to the next id there is), its numbers shuffled.
+
+    A node is its number with the id, as ids a million apart share a number."""
+    from pyspark.sql import Window as W
+
     from .plans.graph import connected_components
-    number = lambda c: (c * 7919 + 13) % 1000003
     d = read_table(spark, sf, "documents").select("doc_id")
-    edges = d.select(number(F.col("doc_id")).alias("src"), number(F.col("doc_id") + 1).alias("dst"))
-    nodes = d.select(number(F.col("doc_id")).alias("node"))
-    inside = edges.join(nodes, F.col("dst") == F.col("node"), "left_semi")
-    return connected_components(nodes, inside)
+    # ranges of ids, stored so that they are cut once; the next id is found within each, and the
+    # ranges' ends are linked here (a row a partition)
+    ids = stored(d.distinct().repartitionByRange("doc_id").withColumn("part", F.spark_partition_id()), "ids")
+    following = F.lead(F.struct("doc_id")).over(W.partitionBy("part").orderBy("doc_id"))
+    inside = ids.select(F.col("doc_id").alias("a"), following.alias("to")).where("to is not null") \
+        .select("a", F.col("to.doc_id").alias("b"))
+    ends = ids.groupBy("part").agg(F.min(F.struct("doc_id")).alias("first"), F.max(F.struct("doc_id")).alias("last")) \
+        .orderBy("part").collect()
+    across = spark.createDataFrame([(x["last"]["doc_id"], y["first"]["doc_id"]) for x, y in zip(ends, ends[1:])],
+                                   inside.schema)
+
+    def node(c):
+        number = (F.col(c) * 7919 + 13) % 1000003
+        return F.struct(number.isNull().alias("none"), number.alias("number"), F.col(c).alias("doc_id"))
+    edges = inside.unionByName(across).select(node("a").alias("src"), node("b").alias("dst"))
+    nodes = d.select(node("doc_id").alias("node"))
+    found = connected_components(nodes, edges)
+    return nodes.join(found, "node").select(F.col("node.number").alias("node"),
+                                            F.col("component.number").alias("component"))
 
 
 # ---------------------------------------------------------------- raw files

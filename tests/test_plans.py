@@ -250,3 +250,18 @@ def test_hits_in_the_last_range_of_a_file(spark, tmp_dir):
     assert [(r.offset, bytes(r.content).decode()) for r in got] == [(len(body), ORIGINAL[:64])]
     assert idx.select("path").distinct().count() == 1
     assert read_file_chunks(spark, tmp_dir, 64, recursive=True).select("path").distinct().count() >= 2
+
+
+def test_chain_components_far_ids(spark, tmp_dir):
+    """Gaps, ids a million apart (their numbers are equal), a repeated and a null id: a row a document."""
+    import duckdb
+
+    from simdex import queries
+    ids = [*range(30), 44, 45, 1_000_003, 1_000_004, 2_000_007, 90_000_000, 7, None]
+    spark.createDataFrame([(i, "x") for i in ids], "doc_id bigint, text string") \
+        .repartition(3).write.parquet(f"{tmp_dir}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_dir}/documents.parquet/*.parquet')")
+    want = sorted(con.execute(queries.ORACLE["chain_components"]).fetchall(), key=str)
+    got = sorted(map(tuple, queries.QUERIES["chain_components"](spark, tmp_dir).collect()), key=str)
+    assert got == want and len(got) == len(ids)
