@@ -15,7 +15,8 @@ one token, as byte fallback does.
 A pre-token is a run of ``[^\x20\x09-\x0D]`` with one space sign (``MARK``) before it.  Defined
 results: a null text or one without a word has 0 tokens; rows repeat as they come;
 other columns are not looked at; an empty table gives no rows.  Pre-tokens longer than
-``LONGEST`` bytes are cut into stretches of that length, each scored by itself.
+``LONGEST`` bytes stay out of the trie and are scored whole, one by one, from left to right: of
+the places before, only those that a piece can reach back to are kept.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ from .common import concat_ranges, is_space, small_batches, utf8
 
 MARK = "▁"
 BYTE_SCORE = -20.0
-LONGEST = 256
+LONGEST = 256             # bytes of a word that is put into the trie, at most
+STRETCH = 65_536          # bytes of a longer word whose pieces are looked up side by side
 CHUNK_BYTES = 3_000_000   # text whose distinct words share a trie
 
 _BASE = np.uint64(0x5851F42D4C957F2D)
@@ -141,6 +143,38 @@ def word_tokens(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, pieces:
     return tokens
 
 
+def long_word_tokens(word: np.ndarray, pieces: Pieces) -> int:
+    """Token count of one word (its bytes) of any length.
+
+    ``best`` and ``num`` are the score and count of the places from a stretch's start on; those
+    that its pieces reach behind its end are carried into the next."""
+    far, lengths = max(1, pieces.longest), set(pieces.lengths)
+    best, num = [0.0] + [-np.inf] * far, [0] * (far + 1)
+    for a in range(0, len(word), STRETCH):
+        n = min(STRETCH, len(word) - a)
+        raw = np.zeros(n, np.uint64)
+        found = [(np.arange(n), np.ones(n, np.int64), np.full(n, BYTE_SCORE))]
+        for size in range(1, far + 1):
+            k = min(n, len(word) - a - size + 1)  # starts that have so many bytes
+            if k < 1:
+                break
+            raw = raw[:k] * _BASE + word[a + size - 1:a + size - 1 + k].astype(np.uint64) + np.uint64(1)
+            if size in lengths:
+                s = pieces.score(raw)
+                at = np.nonzero(s > -np.inf)[0]
+                found.append((at, np.full(len(at), size), s[at]))
+        at, size, gain = (np.concatenate(c) for c in zip(*found))
+        order = np.argsort(at, kind="stable")
+        best += [-np.inf] * n
+        num += [0] * n
+        for i, j, s in zip(at[order].tolist(), (at + size)[order].tolist(), gain[order].tolist()):
+            s, c = best[i] + s, num[i] + 1
+            if s > best[j] or s == best[j] and c < num[j]:
+                best[j], num[j] = s, c
+        best, num = best[n:], num[n:]
+    return num[0]
+
+
 def count_batch(data: np.ndarray, offs: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """Tokens and words of each row."""
     space = is_space(data)
@@ -151,7 +185,7 @@ def count_batch(data: np.ndarray, offs: np.ndarray, pieces: Pieces) -> tuple[np.
     starts = np.nonzero(~space & (np.append(True, space[:-1]) | cut[:-1]))[0]
     ends = np.nonzero(~space & (np.append(space[1:], True) | cut[1:]))[0] + 1
     words = np.diff(np.searchsorted(starts, offs))
-    # every word with its mark before it, the long ones in stretches
+    # every word with its mark before it
     mark = np.frombuffer(MARK.encode(), np.uint8)
     size = ends - starts + len(mark)
     text = np.empty(int(size.sum()), np.uint8)
@@ -159,18 +193,18 @@ def count_batch(data: np.ndarray, offs: np.ndarray, pieces: Pieces) -> tuple[np.
     for i, b in enumerate(mark):
         text[begin + i] = b
     text[concat_ranges(begin + len(mark), ends - starts)] = data[concat_ranges(starts, ends - starts)]
-    pieces_of = -(-size // LONGEST)
-    word = np.repeat(np.arange(len(size)), pieces_of)
-    nth = concat_ranges(np.zeros(len(size), np.int64), pieces_of)
-    begin = begin[word] + nth * LONGEST
-    size = np.minimum(LONGEST, size[word] - nth * LONGEST)
     # distinct ones: equal bytes have equal keyed sums
     place = concat_ranges(np.zeros(len(size), np.int64), size)
     part = _mix((text.astype(np.uint64) + np.uint64(1)) * _BASE + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     key = np.add.reduceat(part, begin) if len(begin) else part
     _, first, which = np.unique(key, return_index=True, return_inverse=True)
-    n = word_tokens(text, begin[first], size[first], pieces)[which]
-    total = np.append(0, np.cumsum(np.bincount(word, n, len(words) and int(words.sum())).astype(np.int64)))
+    begin, size = begin[first], size[first]
+    n = np.zeros(len(first), np.int64)
+    short = size <= LONGEST
+    n[short] = word_tokens(text, begin[short], size[short], pieces)
+    for i in np.nonzero(~short)[0]:
+        n[i] = long_word_tokens(text[begin[i]:begin[i] + size[i]], pieces)
+    total = np.append(0, np.cumsum(n[which]))
     upto = np.cumsum(words)
     return total[upto] - total[upto - words], words
 

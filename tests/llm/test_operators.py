@@ -441,6 +441,29 @@ def test_token_counts(odd_docs, odd_rows, no_docs):
     assert token_counts.token_counts(no_docs, pieces).count() == 0
 
 
+def test_token_counts_long_words(monkeypatch):
+    """Words longer than LONGEST against a Viterbi over the whole word; stretches don't matter."""
+    pieces = token_counts.sentence_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    scores, table = dict(pieces), token_counts.Pieces(pieces)
+    rng = random.Random(4)
+
+    def brute(word):
+        best = [(0.0, 0)]
+        for i in range(1, len(word) + 1):
+            c = [(best[i - 1][0] + token_counts.BYTE_SCORE, best[i - 1][1] + 1)]
+            c += [(best[j][0] + scores[word[j:i]], best[j][1] + 1) for j in range(max(0, i - 48), i) if word[j:i] in scores]
+            best.append(max(c, key=lambda x: (x[0], -x[1])))
+        return best[-1][1]
+    texts = ["é" * 3000, "日本語のテキスト" * 200, "".join(rng.choice(["strasse", "nachricht", "über", "water", "ing"]) for _ in range(400)),
+             "".join(rng.choice("abcdefXYZ0189+/") for _ in range(2000)), "x" * 252, "x" * 253, "x" * 254, "the " + "ab" * 500]
+    data, offs = utf8(pa.array(texts))
+    want = [sum(brute(token_counts.MARK.encode() + w) for w in t.encode().split()) for t in texts]
+    for stretch in (65_536, 100, 7):
+        monkeypatch.setattr(token_counts, "STRETCH", stretch, raising=False)
+        n, words = token_counts.count_batch(data, offs, table)
+        assert n.tolist() == want and words.tolist() == [1, 1, 1, 1, 1, 1, 1, 2]
+
+
 # -- 10: BPE -----------------------------------------------------------------
 
 
