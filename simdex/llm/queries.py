@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_text, importance, jaccard_join, langid, mixing, pii, quality, suffix_dedup, token_counts
+from . import alignment, ann, bpe, html_text, importance, jaccard_join, langid, mixing, pii, quality, suffix_dedup, token_counts
 from .common import load
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -56,6 +56,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(load(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(load(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
+                           public_tokenizers.path(PIECES))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
@@ -71,6 +76,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_bpe": op10_bpe,
+    "op11_alignment": op11_alignment,
     "op13_importance": op13_importance,
 }
 
