@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, ann, bpe, html_text, importance, jaccard_join, langid, mixing, pii, quality, suffix_dedup, token_counts
+from . import alignment, ann, bpe, html_text, importance, jaccard_join, langid, lm_score, mixing, pii, quality, suffix_dedup, token_counts
 from .common import load
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -61,6 +61,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.path(PIECES))
 
 
+def op12_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_score(load(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
@@ -77,6 +81,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_bpe": op10_bpe,
     "op11_alignment": op11_alignment,
+    "op12_lm_score": op12_lm_score,
     "op13_importance": op13_importance,
 }
 
