@@ -293,19 +293,18 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, *, doc_id: str = "do
         for batch in batches:
             for i in range(batch.num_rows):
                 cell = {name: batch.column(name)[i].values for name in batch.schema.names if name != "block"}
-                n_pairs = len(cell["pairs"])
+                which, times, upto = (cell[c].to_numpy() for c in ("which", "times", "upto"))
+                n_pairs = int(which.max()) + 1 if len(which) else 0
                 n, best = np.zeros(n_pairs, np.int64), np.zeros(n_pairs, np.int64)
                 if n_pairs:
                     at = cell["found"].field("at").to_numpy()
                     n[at] = cell["found"].field("n").to_numpy()
                     best[at] = cell["found"].field("best").to_numpy(zero_copy_only=False)
-                which, times, upto = (cell[c].to_numpy() for c in ("which", "times", "upto"))
                 yield pa.RecordBatch.from_arrays(
                     [cell["doc_id"], cell["n_a"], cell["n_b"], cell["n_groups"], cell["n_links"],
                      pa.array(_sums(best[which] * times, upto)), pa.array(_sums(n[which] * times, upto)),
                      cell["groups_sha256"]],
                     ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
-    return looked.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "upto", "which", "times",
-                         "found").mapInArrow(
+    return looked.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "upto", "which", "times", "found").mapInArrow(
         run, f"doc_id {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, "
              "count_sum bigint, groups_sha256 string")

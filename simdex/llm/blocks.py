@@ -32,11 +32,12 @@ def numbered(values) -> tuple[np.ndarray, np.ndarray]:
 
 
 def look_up(blocks: DataFrame, keys: str, table: DataFrame, key: str, values: list[str]) -> DataFrame:
-    """``blocks`` with ``found``: an array of (at, values...) for the keys that ``table`` has.
+    """``blocks``, without ``keys``, with ``found``: an array of (at, values...) for the keys that
+    ``table`` has.
 
     ``blocks`` has a column ``block`` (unique) and the array ``keys`` of distinct values; both sides
     of the join are plain shuffles, so one that is too large can be split."""
     asked = blocks.select("block", F.posexplode(keys).alias("at", key))
     found = (asked.join(table.select(key, *values), key)
              .groupBy("block").agg(F.collect_list(F.struct("at", *values)).alias("found")))
-    return blocks.join(found, "block", "left")
+    return blocks.drop(keys).join(found, "block", "left")
