@@ -12,9 +12,11 @@ count before and after the shuffle.  A shard sorts its contexts' suffixes by ind
 with a neighbour is long enough is repeated, as is every window of a context that occurs
 twice.  Shards never compare what lies in two anchors, and needn't.
 
-An anchor of more than ``HOT`` occurrences doesn't go to one shard: its distinct contexts are
-cut into their windows, which are counted by a grouping that adds up on the map side.  The
-result is the same, and no key is one task's.
+Copies of a context cost a shard nothing, but an anchor may have very many different ones (a
+passage of under 200 bytes in very many texts).  Those of an anchor of more than
+``SHARD_CONTEXTS`` are cut again, by longer anchors (``GRAMS``: 128 bytes, then the window itself):
+equal windows agree in these, too, so nothing is lost.  Equal parts become one with a count, their
+shards go the same way, and what is found in a part is handed on to the contexts that hold it.
 
 Work is linear in the input: one pass finds anchors, one join brings those that occur twice
 back to their texts, and texts without any are done there.
@@ -35,13 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sizing import drop_stored, stored
+from ..operators.sizing import drop_stored, join_small, n_rows, stored
 from .common import concat_ranges, small_batches, utf8
 from .suffix_sort import common_prefixes, suffix_array
 
 WINDOW = 200
 GRAM = 64
-HOT = 5_000               # occurrences of an anchor beyond which its windows are counted instead
+GRAMS = (128, WINDOW)     # bytes of the anchors by which large shards are cut further
+SHARD_CONTEXTS = 4_096    # different contexts of an anchor that are sorted together (some 1 MB)
 SLICE = 1 << 20           # bytes a task hashes side by side
 SHARD = 1_500_000         # bytes whose suffixes are sorted together
 PENDING = 40_000          # distinct contexts a task holds before it hands them on
@@ -103,6 +106,20 @@ def _slices(offs: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         row += 1
 
 
+def _least(grams: np.ndarray, width: int) -> np.ndarray:
+    """Where the smallest of each ``width`` neighbouring hashes is (the first of equals; a slice's places
+    fit 21 bits)."""
+    low = np.uint64((1 << 21) - 1)
+    least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
+    size = 1
+    while 2 * size <= width:
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
+    if size < width:
+        least = np.minimum(least[:len(least) - (width - size)], least[width - size:])
+    return (least & low).astype(np.int64)
+
+
 def anchors(data: np.ndarray, offs: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
     """``(key, row, first, last)`` per slice: each anchor with its row and, in the row's bytes, the
     first and last start of its windows."""
@@ -113,17 +130,10 @@ def anchors(data: np.ndarray, offs: np.ndarray) -> Iterator[tuple[np.ndarray, ..
         if not len(long):
             continue
         grams = Hashes(data[a:b]).grams(GRAM)
-        low = np.uint64((1 << 21) - 1)
-        least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
-        size = 1
-        while 2 * size <= width:
-            least = np.minimum(least[:-size], least[size:])
-            size *= 2
-        if size < width:
-            least = np.minimum(least[:len(least) - (width - size)], least[width - size:])
+        least = _least(grams, width)
         starts = concat_ranges(cuts[long], lens[long])
         owner = np.repeat(long, lens[long])
-        anchor = (least[starts] & low).astype(np.int64)
+        anchor = least[starts]
         new = np.nonzero(np.append(True, anchor[1:] != anchor[:-1]))[0]
         stop = np.append(new[1:], len(starts)) - 1
         row = rows[owner[new]]
@@ -161,7 +171,7 @@ def find_anchors(texts: DataFrame) -> DataFrame:
 
 
 WORK = ("n_bytes bigint, sha string, text string, first array<int>, last array<int>, key array<bigint>, "
-        "hot array<boolean>, h1 array<bigint>, h2 array<bigint>")
+        "h1 array<bigint>, h2 array<bigint>")
 
 
 def gather(docs: DataFrame, kind: str) -> DataFrame:
@@ -175,24 +185,24 @@ def gather(docs: DataFrame, kind: str) -> DataFrame:
                 raw = data[offs[i]:offs[i + 1]]
                 got = batch.column(3)[i].as_py()
                 if not got:
-                    out.append((len(raw), hashlib.sha256(raw.tobytes()).hexdigest(), None, *[None] * 6))
+                    out.append((len(raw), hashlib.sha256(raw.tobytes()).hexdigest(), None, *[None] * 5))
                     continue
-                rows = sorted({(g["first"], g["last"], g["key"], g["hot"]) for g in got})
+                rows = sorted((g["first"], g["last"], g["key"]) for g in got)
                 first, last = (np.array(c, np.int64) for c in zip(*((r[0], r[1]) for r in rows)))
                 h1, h2 = _context_hashes(raw, first, last)
                 out.append((len(raw), None, raw.tobytes().decode(), first.tolist(), last.tolist(),
-                            [r[2] for r in rows], [r[3] for r in rows], h1.tolist(), h2.tolist()))
-            cols = list(zip(*out)) if out else [[]] * 9
+                            [r[2] for r in rows], h1.tolist(), h2.tolist()))
+            cols = list(zip(*out)) if out else [[]] * 8
             kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()),
-                     pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                     pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(cols, kinds))],
-                ["uid", "doc_id", "n_bytes", "sha", "text", "first", "last", "key", "hot", "h1", "h2"])
+                ["uid", "doc_id", "n_bytes", "sha", "text", "first", "last", "key", "h1", "h2"])
     return small_batches(docs).select("uid", "doc_id", "text", "found") \
         .mapInArrow(run, f"uid bigint, doc_id {kind}, {WORK}")
 
 
-def contexts(work: DataFrame, hot: bool) -> DataFrame:
+def contexts(work: DataFrame) -> DataFrame:
     """``(key, h1, h2, n, bytes)``: the distinct contexts a task has seen, with their number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[int, int], list] = {}
@@ -206,20 +216,19 @@ def contexts(work: DataFrame, hot: bool) -> DataFrame:
             return out
         for batch in batches:
             for row in range(batch.num_rows):
-                text, *lists = (batch.column(c)[row].as_py() for c in range(7))
+                text, *lists = (batch.column(c)[row].as_py() for c in range(6))
                 raw = text.encode()
-                for a, b, key, is_hot, h1, h2 in zip(*lists):
-                    if is_hot == hot:
-                        got = seen.get((h1, h2))
-                        if got is None:
-                            seen[h1, h2] = [key, raw[a:b + WINDOW], 1]
-                        else:
-                            got[2] += 1
+                for a, b, key, h1, h2 in zip(*lists):
+                    got = seen.get((h1, h2))
+                    if got is None:
+                        seen[h1, h2] = [key, raw[a:b + WINDOW], 1]
+                    else:
+                        got[2] += 1
                 if len(seen) > PENDING:
                     yield flush()
         if seen:
             yield flush()
-    return (work.where("text is not null").select("text", "first", "last", "key", "hot", "h1", "h2")
+    return (work.where("text is not null").select("text", "first", "last", "key", "h1", "h2")
             .mapInArrow(run, "key bigint, h1 bigint, h2 bigint, n bigint, bytes binary"))
 
 
@@ -299,28 +308,60 @@ def _span_batch(rows: list[tuple]) -> pa.RecordBatch:
          pa.array([r[2] for r in rows], pa.list_(pa.int32()))], ["h1", "h2", "spans"])
 
 
-def hot_spans(rows: DataFrame) -> DataFrame:
-    """The same for anchors of very many occurrences, by counting the windows of their contexts."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def parts_of(raw: bytes, gram: int) -> tuple[np.ndarray, ...]:
+    """``(key, first, end, h1, h2)`` of a context's parts: runs of windows of one anchor of ``gram`` bytes."""
+    data = np.frombuffer(raw, np.uint8)
+    hashes = Hashes(data)
+    grams = hashes.grams(gram)
+    anchor = _least(grams, WINDOW - gram + 1)
+    first = np.nonzero(np.append(True, anchor[1:] != anchor[:-1]))[0]
+    end = np.append(first[1:], len(anchor)) - 1 + WINDOW
+    return (grams[anchor[first]].view(np.int64), first, end, hashes.of(first, end).view(np.int64),
+            Hashes(data, 1).of(first, end).view(np.int64))
+
+
+def cut_contexts(rows: DataFrame, gram: int) -> DataFrame:
+    """``rows(h1, h2, n, bytes)`` -> their parts ``(h1, h2, at, n, key, s1, s2, bytes)``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for h1, h2, n, raw in zip(*(c.to_pylist() for c in batch.columns[1:])):
-                data = np.frombuffer(raw, np.uint8)
-                k = len(data) - WINDOW + 1
-                at = np.arange(k)
-                w = [Hashes(data, i).of(at, at + WINDOW).view(np.int64) for i in (0, 1)]
+            for h1, h2, n, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                key, first, end, s1, s2 = parts_of(raw, gram)
+                k = len(key)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(w[0]), pa.array(w[1]), pa.array(np.full(k, h1)), pa.array(np.full(k, h2)),
-                     pa.array(at.astype(np.int32)), pa.array(np.full(k, n))], ["w1", "w2", "h1", "h2", "at", "n"])
-    windows = rows.select("key", "h1", "h2", "n", "bytes") \
-        .mapInArrow(cut, "w1 bigint, w2 bigint, h1 bigint, h2 bigint, at int, n bigint")
-    # a context is known to several tasks at most; its windows are counted once for each
-    each = windows.groupBy("w1", "w2", "h1", "h2", "at").agg(F.sum("n").alias("n"))
-    twice = each.groupBy("w1", "w2").agg(F.sum("n").alias("n")).where("n > 1")
-    starts = each.join(twice.select("w1", "w2"), ["w1", "w2"], "left_semi")
-    merge = ("aggregate(array_sort(collect_list(at)), array(0, 0), (s, x) -> IF(size(s) > 2 AND x <= element_at(s, -1), "
-             "concat(slice(s, 1, size(s) - 1), array(x + {0})), concat(s, array(x, x + {0}))))").format(WINDOW)
-    return starts.groupBy("h1", "h2").agg(F.expr(merge).alias("s")) \
-        .select("h1", "h2", F.expr("slice(s, 3, size(s) - 2)").alias("spans"))
+                    [pa.array(np.full(k, h1)), pa.array(np.full(k, h2)), pa.array(first.astype(np.int32)), pa.array(np.full(k, n)),
+                     pa.array(key), pa.array(s1), pa.array(s2),
+                     pa.array([raw[a:b] for a, b in zip(first.tolist(), end.tolist())], pa.binary())],
+                    ["h1", "h2", "at", "n", "key", "s1", "s2", "bytes"])
+    return rows.select("h1", "h2", "n", "bytes").mapInArrow(
+        run, "h1 bigint, h2 bigint, at int, n bigint, key bigint, s1 bigint, s2 bigint, bytes binary")
+
+
+def large_keys(ids: DataFrame) -> DataFrame:
+    """The keys of ``ids(key, h1, h2)`` with more different contexts than are sorted together."""
+    return stored(ids.select("key", "h1", "h2").distinct().groupBy("key").count()
+                  .where(F.col("count") > SHARD_CONTEXTS).select("key", F.lit(True).alias("large")), "large")
+
+
+def sort_shards(rows: DataFrame) -> DataFrame:
+    n_parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return shard_spans(rows.repartition(n_parts, "key").sortWithinPartitions("key")).where("size(spans) > 0")
+
+
+def repeated_spans(rows: DataFrame, ids: DataFrame, grams: tuple[int, ...] = GRAMS) -> DataFrame:
+    """``rows(key, h1, h2, n, bytes)`` -> ``(h1, h2, spans)``; contexts of large keys are cut by the next
+    of ``grams``, and their parts go the same way."""
+    large = large_keys(ids)
+    if not grams or not n_rows(large):   # (parts of one window are alone in their key)
+        return sort_shards(rows)
+    flagged = join_small(rows, large, "key", "left")
+    parts = stored(cut_contexts(flagged.where("large"), grams[0]), "parts")
+    merged = parts.groupBy("key", "s1", "s2").agg(F.sum("n").alias("n"), F.first("bytes").alias("bytes")) \
+        .select("key", F.col("s1").alias("h1"), F.col("s2").alias("h2"), "n", "bytes")
+    merged = stored(merged, "merged")
+    found = repeated_spans(merged, merged, grams[1:]).select(F.col("h1").alias("s1"), F.col("h2").alias("s2"), "spans")
+    handed = parts.select("h1", "h2", "at", "s1", "s2").distinct().join(found, ["s1", "s2"]) \
+        .select("h1", "h2", F.transform("spans", lambda x: x + F.col("at")).alias("spans"))
+    return sort_shards(flagged.where("large IS NULL").drop("large")).unionByName(handed)
 
 
 def finish(rows: DataFrame, kind: str) -> DataFrame:
@@ -357,22 +398,21 @@ def finish(rows: DataFrame, kind: str) -> DataFrame:
 
 def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` of every row."""
-    spark = docs.sparkSession
     kind = docs.select(doc_id).schema[0].dataType.simpleString()
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     d = d.withColumn("uid", F.xxhash64("doc_id", "text"))  # rows of one uid are copies of each other
     found = stored(find_anchors(d), "anchors")
     # stored, so that the join back is of two plain shuffles and a hot key's rows can be split
-    twice = stored(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-                   .select("key", (F.col("n") > HOT).alias("hot")), "twice")
+    twice = stored(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "twice")
+    # rows of one uid have the same anchors: a set, so that copies of a text don't lengthen it
     per_doc = found.join(twice, "key").groupBy("uid") \
-        .agg(F.collect_list(F.struct("first", "last", "key", "hot")).alias("found"))
+        .agg(F.collect_set(F.struct("first", "last", "key")).alias("found"))
     work = stored(gather(d.join(per_doc, "uid", "left"), kind), "work")
     drop_stored(found)
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = shard_spans(contexts(work, False).repartition(n_parts, "key").sortWithinPartitions("key"))
-    spans = stored(shards.unionByName(hot_spans(contexts(work, True))).where("size(spans) > 0"), "spans")
-    each = work.where("text is not null").select("uid", F.explode(F.arrays_zip("first", "h1", "h2")).alias("c")) \
+    repeats = work.where("text is not null")
+    ids = repeats.select(F.explode(F.arrays_zip("key", "h1", "h2")).alias("c")).select("c.key", "c.h1", "c.h2")
+    spans = stored(repeated_spans(contexts(work), ids), "spans")
+    each = repeats.select("uid", F.explode(F.arrays_zip("first", "h1", "h2")).alias("c")) \
         .select("uid", "c.first", "c.h1", "c.h2").distinct()
     per_uid = each.join(spans, ["h1", "h2"]).groupBy("uid") \
         .agg(F.collect_list(F.struct("first", "spans")).alias("found"))

@@ -53,9 +53,9 @@ def removed(texts):
         yield len(b), sum(cover), spans, hashlib.sha256(kept).hexdigest()
 
 
-@pytest.mark.parametrize("hot", [5000, 2])
-def test_suffix_dedup(odd_docs, odd_rows, no_docs, hot, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+@pytest.mark.parametrize("contexts", [4096, 0, 1])
+def test_suffix_dedup(odd_docs, odd_rows, no_docs, contexts, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SHARD_CONTEXTS", contexts)
     want = sorted(((r[0], *x) for r, x in zip(odd_rows, removed([r[1] for r in odd_rows]))), key=str)
     assert rows_of(suffix_dedup.suffix_dedup(odd_docs)) == want
     assert suffix_dedup.suffix_dedup(no_docs).count() == 0
@@ -72,6 +72,20 @@ def test_suffix_dedup_slices(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == list(removed(texts))
 
 
+@pytest.mark.parametrize("contexts", [4096, 5])
+def test_suffix_dedup_large_anchor(spark, contexts, monkeypatch):
+    """A passage of 150 bytes between other words each time, one of 190, and one that is long enough."""
+    monkeypatch.setattr(suffix_dedup, "SHARD_CONTEXTS", contexts)
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    license, notice, long = word(150), word(190), word(230)
+    texts = [word(rng.randint(100, 300)) + rng.choice([license, notice, long]) + word(rng.randint(100, 300)) for _ in range(60)]
+    texts += [texts[0], texts[1][:-50] + word(20), long + license, license * 3]
+    got = {r.doc_id: tuple(r)[1:] for r in
+           suffix_dedup.suffix_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == list(removed(texts))
+
+
 # -- 2: nearest neighbours ---------------------------------------------------
 
 
@@ -435,7 +449,7 @@ def test_token_counts(odd_docs, odd_rows, no_docs):
 
     def count(text):
         words = [token_counts.MARK.encode() + w for w in (text or "").encode().split()]
-        return len(words), sum(brute(w[i:i + token_counts.LONGEST]) for w in words for i in range(0, len(w), token_counts.LONGEST))
+        return len(words), sum(map(brute, words))
     want = sorted(((r[0], *count(r[1])) for r in odd_rows), key=str)
     assert rows_of(token_counts.token_counts(odd_docs, pieces)) == want
     assert token_counts.token_counts(no_docs, pieces).count() == 0
