@@ -2,9 +2,8 @@
 
 Two exact plans:
 
-* ``nested``: broadcast a side proven to hold at most ``NESTED_MAX_ROWS`` hashes and
-  test ``bit_count(a ^ b) <= k`` per pair.  A caller may ask for it; a side that is
-  larger still goes the banded way.
+* ``nested``: broadcast the side of fewer hashes, whose bytes are checked, and test
+  ``bit_count(a ^ b) <= k`` per pair in generated code.
 * ``banded``: multi-index hashing (Norouzi, Punjani, Fleet 2012; Manku et al.
   2007).  The 64 bits are cut into m bands with radii r_i such that
   ``sum(r_i + 1) = k + 1``; if ``d(a, b) <= k`` some band i differs in at most r_i
@@ -13,10 +12,12 @@ Two exact plans:
   candidates, and those are checked on all 64 bits.  A pair is kept only from the
   first band that admits it, so no ``distinct`` is needed.
 
-m follows from the sizes: few wide bands cost many expanded rows and admit few
-chance pairs, many narrow bands the reverse, and ``band_layout`` takes the
-cheapest.  As the sides grow the bands widen, so the share of all pairs that
-become candidates falls.  Adaptive execution splits band values that are hot.
+Both are priced in bit counts: a pair of the nested plan is one, a row that is shuffled and
+sorted ``ROW_COST``, a candidate that a sorted join meets ``CANDIDATE_COST`` (measured on
+sets of 10^4 to 3 x 10^5 hashes).  The nested plan is taken while it is the cheaper one, its side fits a
+broadcast and the pairs are no more than ``NESTED_MAX_PAIRS``.  Of the banded layouts, few wide
+bands cost many expanded rows and admit few chance pairs, many narrow bands the reverse; as the
+sides grow the bands widen.  Adaptive execution splits band values that are hot.
 
 Inputs should be stored tables of distinct hashes (callers aggregate first), so
 repeated content never multiplies the candidates and sizes are counted once.
@@ -33,6 +34,10 @@ from ..functions.hexcodec import hamming
 from .sizing import is_small, materialize, n_rows
 
 NESTED_MAX_ROWS = 64
+#: Pairs that are still compared one by one.
+NESTED_MAX_PAIRS = 2e10
+#: A shuffled and sorted row, and a candidate of a sorted join, in bit counts of generated code.
+ROW_COST, CANDIDATE_COST = 100, 10
 #: No layout expands a hash into more rows than this.
 MAX_PROBES = 20_000
 
@@ -58,12 +63,19 @@ def candidate_share(bands: list[tuple[int, int, int]]) -> float:
 
 
 def band_layout(k: int, n_small: int, n_large: int) -> list[tuple[int, int, int]]:
-    """The layout with the fewest expanded, plain and (for even bits) candidate rows."""
-    def cost(m: int) -> float:
-        bands = layout(m, k)
-        return n_small * probes(bands) + n_large * m + n_small * n_large * candidate_share(bands)
+    """The cheapest layout for expanded, plain and (for even bits) candidate rows."""
     fit = [m for m in range(1, min(k + 1, 64) + 1) if probes(layout(m, k)) <= MAX_PROBES]
-    return layout(min(fit, key=cost), k)
+    return layout(min(fit or [min(k + 1, 64)], key=lambda m: banded_cost(layout(m, k), n_small, n_large)), k)
+
+
+def banded_cost(bands: list[tuple[int, int, int]], n_small: int, n_large: int) -> float:
+    rows = n_small * probes(bands) + n_large * len(bands)
+    return ROW_COST * rows + CANDIDATE_COST * n_small * n_large * candidate_share(bands)
+
+
+def nested_is_cheaper(k: int, n_left: int, n_right: int) -> bool:
+    pairs, small, large = n_left * n_right, min(n_left, n_right), max(n_left, n_right)
+    return pairs <= NESTED_MAX_PAIRS and pairs <= banded_cost(band_layout(k, small, large), small, large)
 
 
 def band_masks(width: int, radius: int) -> list[int]:
@@ -110,11 +122,22 @@ def hamming_pairs(left: DataFrame, right: DataFrame, k: int, *, left_hash: str =
                 right, [r for _, r in keys], nested_max_rows):
             return left.join(F.broadcast(right), cond, "inner").withColumn("distance", dist)
         left = materialize(left)
-        if n_rows(left) <= nested_max_rows:
+        n_left, n_right = n_rows(left), n_rows(right)
+        if n_left <= nested_max_rows:
             return F.broadcast(left).join(right, cond, "inner").withColumn("distance", dist)
+        if not keys and (strategy == "nested" or nested_is_cheaper(k, n_left, n_right)):
+            if n_right <= n_left and is_small(right):
+                return _dealt(left).join(F.broadcast(right), cond, "inner").withColumn("distance", dist)
+            if n_left < n_right and is_small(left):
+                return F.broadcast(left).join(_dealt(right), cond, "inner").withColumn("distance", dist)
     return _banded(materialize(left), materialize(right), k, left_hash, right_hash, extra, keys)
 
 
+def _dealt(table: DataFrame) -> DataFrame:
+    """The streamed side over all cores: a table of hashes may be a single file."""
+    return table.repartition(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def few_per_key(table: DataFrame, keys: list[str], most: int = NESTED_MAX_ROWS) -> bool:
     """Whether no key of a stored table has more than ``most`` rows."""
     per_key = table.groupBy(*keys).count().agg(F.max("count")).first()[0]

@@ -14,10 +14,13 @@ joined back by an equi-join on ``hash`` afterwards.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.validate import DEFAULT_MAX_DISTANCE, query_reject_reason
+from ..sources.band_store import band_pairs
 from .hamming_join import NESTED_MAX_ROWS, few_per_key, hamming_pairs
 from .sizing import is_small, join_small, materialize, n_rows
 
@@ -51,7 +54,7 @@ def hash_pairs(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DISTA
     keys = tuple((c, f"__q_{c}") for c in on)
     left = chunks.select(*on, "hash")
     if strategy == "banded" or not _few(right, [q for _, q in keys]):
-        left, strategy = left.distinct(), "banded"
+        left, strategy = materialize(left.distinct()), "banded" if keys else strategy
     pairs = hamming_pairs(left, right, k, strategy=strategy, keys=keys)
     return materialize(pairs.select(*on, "qhash", "hash", "distance").distinct())
 
@@ -94,22 +97,32 @@ def lookup_fuzzy(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DIS
 
 
 def lookup(chunks: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DISTANCE, *,
-           scope: str = "file", on: tuple[str, ...] = (), strategy: str = "auto") -> DataFrame:
+           scope: str = "file", on: tuple[str, ...] = (), strategy: str = "auto",
+           bands: DataFrame | None = None) -> DataFrame:
     """M4: exact hits if any, else hits within distance k; nothing if neither.
 
     ``scope='file'`` decides the fallback per (query, doc_id), as the reference does
-    per index file; ``scope='corpus'`` decides it per query over all documents.
+    per index file; ``scope='corpus'`` decides it per query over all documents: queries
+    with an exact hit never reach the theta join.  ``bands`` are the index's stored band tables (see
+    sources/band_store), which then give the pairs.
     """
+    if scope not in ("file", "corpus"):
+        raise ValueError(f"unknown scope {scope!r}")
     q = materialize(valid_queries(queries).select(*on, "query_id", "qhash"))
-    pairs = hash_pairs(chunks, q, k, on=on, strategy=strategy)
+
+    def near(some: DataFrame) -> DataFrame:
+        if bands is not None:
+            return materialize(band_pairs(bands, some, k))
+        return hash_pairs(chunks, some, k, on=on, strategy=strategy)
     if scope == "corpus":
-        best = pairs.groupBy(*on, "qhash").agg(F.min("distance").alias("__best"))
-        kept = (pairs.join(best, [*on, "qhash"])
-                .where((F.col("distance") == 0) | (F.col("__best") > 0))
-                .drop("__best"))
-        return _expand(kept, chunks, q, on)
-    if scope != "file":
-        raise ValueError(f"unknown scope {scope!r}")
+        hashes = q.select(*on, "qhash").distinct()
+        found = materialize(join_small(chunks.select(*on, F.col("hash").alias("qhash")), hashes,
+                                       [*on, "qhash"], "left_semi").distinct())
+        exact = found.select(*on, "qhash", F.col("qhash").alias("hash"), F.lit(0).alias("distance"))
+        rest = materialize(q.join(found, [*on, "qhash"], "left_anti"))
+        kept = exact.unionByName(near(rest).select(*on, "qhash", "hash", "distance")) if n_rows(rest) else exact
+        return _expand(materialize(kept), chunks, q, on)
+    pairs = near(q)
     # one expansion; a (query, file) with an exact hit keeps its exact hits only
     hits = materialize(_expand(pairs, chunks, q, on))
     best = hits.groupBy("query_id", "doc_id").agg(F.min("distance").alias("__best"))
@@ -128,6 +141,34 @@ def unmatched_queries(queries: DataFrame, matches: DataFrame) -> DataFrame:
     return rejected.unionByName(missing)
 
 
+def nearest(chunks: DataFrame, queries: DataFrame, n: int, *, k: int = DEFAULT_MAX_DISTANCE, step: int = 3,
+            strategy: str = "auto") -> DataFrame:
+    """The n chunks nearest to each valid query, however far: columns of matches and ``rank``.
+
+    Distinct hashes are searched within a radius, which starts at ``k`` and is raised by ``step`` for the
+    queries that haven't n chunks yet; a query with n chunks within its radius has its nearest among
+    them, as nothing nearer lies outside.  A round's new hits of a query are few, since it had fewer than n
+    before.  Ties go to the smaller (doc_id, offset); an index of fewer chunks gives them all.
+    """
+    q = materialize(valid_queries(queries).select("query_id", "qhash"))
+    hashes = materialize(chunks.groupBy("hash").agg(F.count("*").alias("n")))
+    left = hashes.select("hash")
+    todo = materialize(q.select("qhash").distinct())
+    radius, found = k, []
+    while n_rows(todo) and n_rows(hashes):
+        pairs = materialize(hamming_pairs(left, todo, radius, strategy=strategy).select("qhash", "hash", "distance"))
+        have = join_small(hashes, pairs, "hash").groupBy("qhash").agg(F.sum("n").alias("n"))
+        done = have.where(F.col("n") >= n).select("qhash") if radius < 64 else todo
+        done = materialize(done)
+        found.append(pairs.join(done, "qhash", "left_semi"))
+        todo = materialize(todo.join(done, "qhash", "left_anti"))
+        radius = min(64, radius + step)
+    pairs = materialize(reduce(DataFrame.unionByName, found)) if found else None
+    if pairs is None:
+        return nearest_chunks(lookup_exact(chunks, q), n)
+    return nearest_chunks(_expand(pairs, chunks, q, ()), n)
+
+
 def nearest_chunks(matches: DataFrame, n: int) -> DataFrame:
     """The n nearest hits per query, ties broken by (doc_id, offset).
 

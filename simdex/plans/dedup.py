@@ -10,6 +10,12 @@ distinct fingerprints only.  Pairs are emitted as
 * ``representative -> representative`` pairs for distinct fingerprints within k.
 
 Wordless documents (no features; all share hash -1) are left out of the pairs.
+
+Groups (U2) need no pairs, only enough links: ``near_links`` first hangs every hash on one
+representative for each of its bands (four rows a hash, each link checked on all bits), and
+then looks for pairs within k whose hashes lie in *different* groups so far, of which a hash keeps one
+for each group it meets.  So links grow with the hashes of a near group, not with its square, and the
+components are the same as those of all pairs.
 """
 
 from __future__ import annotations
@@ -18,8 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.simhash import DEFAULT_WORD_PATTERN, with_simhash, word_features
-from ..operators.hamming_join import hamming_pairs
-from ..operators.sizing import materialize
+from ..functions.hexcodec import hamming
+from ..operators.hamming_join import hamming_pairs, layout
+from ..operators.sizing import materialize, stored
 from .graph import connected_components
 
 DEFAULT_DEDUP_DISTANCE = 10
@@ -72,15 +79,42 @@ def near_duplicate_pairs(docs: DataFrame, k: int = DEFAULT_DEDUP_DISTANCE, *,
                          F.round(jac, 6).alias("jaccard"))
 
 
+def near_links(hashes: DataFrame, k: int = DEFAULT_DEDUP_DISTANCE, *, strategy: str = "auto") -> DataFrame:
+    """``hashes(hash)``, distinct -> ``(a, b)``: links within k that connect what all pairs within k do."""
+    hashes = materialize(hashes)
+    links = None
+    for bands in (4, 3):
+        values = [F.struct(F.lit(j).alias("j"), F.shiftrightunsigned("hash", start).bitwiseAND(F.lit((1 << width) - 1)).alias("v"))
+                  for j, (start, width, _) in enumerate(layout(bands, 0))]
+        rows = hashes.select("hash", F.explode(F.array(*values)).alias("band")).select("hash", "band.j", "band.v")
+        reps = stored(rows.groupBy("j", "v").agg(F.min("hash").alias("rep")), "reps")
+        star = rows.join(reps, ["j", "v"]).where((F.col("hash") != F.col("rep")) & (hamming("hash", "rep") <= k)) \
+            .select(F.col("hash").alias("a"), F.col("rep").alias("b"))
+        links = star if links is None else links.unionByName(star)
+    links = materialize(links.distinct())
+    groups = connected_components(hashes.select(F.col("hash").alias("node")), links, src="a", dst="b")
+    groups = materialize(groups.select(F.col("node").alias("hash"), F.col("component").alias("g")))
+    other = materialize(groups.select(F.col("hash").alias("qhash"), F.col("g").alias("qg")))
+    across = hamming_pairs(groups, other, k, strategy=strategy, ordered=("g", "qg"))
+    across = across.groupBy("hash", "qg").agg(F.min("qhash").alias("b")).select(F.col("hash").alias("a"), "b")
+    return links.unionByName(across)
+
+
 def dedup_documents(docs: DataFrame, k: int = DEFAULT_DEDUP_DISTANCE, *,
                     features: str = "shingle", shingle_n: int = 3,
                     method: str = "arrow", strategy: str = "auto") -> DataFrame:
     """``(doc_id, group_id, group_size, keep)``; a group is a connected set of U1
-    pairs, ``group_id`` its smallest doc_id, and only that document is kept."""
-    pairs = near_duplicate_pairs(docs, k, features=features, shingle_n=shingle_n,
-                                 with_jaccard=False, method=method, strategy=strategy)
+    pairs (found by ``near_links``), ``group_id`` its smallest doc_id, and only that document is kept."""
+    fp = materialize(document_fingerprints(docs, features=features, shingle_n=shingle_n, method=method)
+                     .where(F.col("n_features") > 0).select("doc_id", "hash"))
+    groups = materialize(fp.groupBy("hash").agg(F.min("doc_id").alias("rep")))
+    links = near_links(groups.select("hash"), k, strategy=strategy)
+    exact = fp.join(groups, "hash").where(F.col("doc_id") != F.col("rep")) \
+        .select(F.col("rep").alias("doc_a"), F.col("doc_id").alias("doc_b"))
+    near = (links.join(groups.select(F.col("hash").alias("a"), F.col("rep").alias("doc_a")), "a")
+            .join(groups.select(F.col("hash").alias("b"), F.col("rep").alias("doc_b")), "b").select("doc_a", "doc_b"))
     nodes = docs.select(F.col("doc_id").alias("node"))
-    comp = connected_components(nodes, pairs, src="doc_a", dst="doc_b")
+    comp = connected_components(nodes, exact.unionByName(near), src="doc_a", dst="doc_b")
     sizes = comp.groupBy("component").agg(F.count("*").cast("bigint").alias("group_size"))
     return (comp.join(sizes, "component")
             .select(F.col("node").alias("doc_id"), F.col("component").alias("group_id"),

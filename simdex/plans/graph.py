@@ -10,8 +10,9 @@ Only nodes that occur in an edge take part; a node of no edge is its own
 component and is joined once, at the end.  The edges of each round are written to
 Parquet in the shared work folder (short plans, true size estimates, a lost
 executor repeats the last round only) and the round before is removed.  A step is
-a ``min`` per node (partial aggregation, so a hub is pre-aggregated per map task)
-and a join back, which adaptive execution splits where a hub makes it skewed.
+a ``min`` per node (partial aggregation, so a hub is pre-aggregated per map task), which is
+stored, and a join back of two plain sides: broadcast where the stored side is small, else a
+shuffle that adaptive execution splits where a hub makes it skewed.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sizing import drop_stored, stored
+from ..operators.sizing import drop_stored, join_small, stored
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -28,8 +29,8 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         both = edges
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    hung = both.join(least, "u")
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    hung = join_small(both, least, "u")
     if larger:
         out = hung.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

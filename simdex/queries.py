@@ -14,15 +14,16 @@ from .functions.hexcodec import format_hex_hash, parse_hex_hash
 from .functions.simhash import shingles, word_features
 from .operators.chunking import chunk_count, chunk_fixed
 from .operators.index import build_index, hash_buckets, index_summary
-from .operators.lookup import lookup, lookup_exact, lookup_fuzzy, nearest_chunks, unmatched_queries
+from .operators.lookup import lookup, lookup_exact, lookup_fuzzy, nearest, nearest_chunks, unmatched_queries
 from .operators.results import (chunk_content, hash_log, lookup_report, match_count,
                                 matches_json, report_lines)
 from .plans.dedup import dedup_documents, document_fingerprints, near_duplicate_pairs
 from .plans.distribution import content_distribution, distance_histogram, top_buckets
-from .plans.plagiarism import plagiarism_matches
+from .plans.plagiarism import plagiarism_matches, plagiarism_passages
 from .plans.search import prepare_queries, search_corpus, unanswered
 from .operators.sizing import materialize, stored
 from .session import work_path
+from .sources.band_store import read_bands
 from .sources.documents import load_documents, read_table
 from .sources.index_store import read_index, write_index
 
@@ -285,6 +286,35 @@ def q_nearest(spark, sf):
     return nearest_chunks(m, TOP_N)
 
 
+@register("nearest_any",
+          f"SELECT query_id, doc_id, chunk_idx, \"offset\", size, hash, distance, CASE WHEN distance = 0 THEN 'exact' ELSE 'fuzzy' END "
+          f"AS match_type, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id "
+          f"ORDER BY distance, doc_id, \"offset\") AS rank FROM (SELECT q.query_id, c.doc_id, c.chunk_idx, c.\"offset\", c.size, "
+          f"c.hash, CAST(bit_count(xor(c.hash, q.qhash)) AS INTEGER) AS distance FROM ({IDX}) c, ({Q}) q WHERE q.qhash <> 0) p) x "
+          f"WHERE rank <= {TOP_N}")
+def q_nearest_any(spark, sf):
+    """The nearest chunks of every query, however far away."""
+    return nearest(_stored_index(spark, sf), _bench_queries(spark, sf), TOP_N)
+
+
+def _banded_index(spark, sf):
+    """An index with band tables: even documents written, the others streamed into it in two runs."""
+    from .streaming.incremental import document_stream, incremental_index
+    docs = read_table(spark, sf, "documents")
+    out, ckpt, inbox = (work_path(spark, n) for n in ("index", "stream-ckpt", "inbox"))
+    write_index(build_index(load_documents(spark, sf).where("doc_id % 2 = 0"), CHUNK), out, bands=True)
+    for rest in (1, 3):
+        docs.where(F.col("doc_id") % 4 == rest).write.parquet(f"{inbox}/run={rest}")
+        incremental_index(document_stream(spark, f"{inbox}/*", docs.schema), CHUNK, out, ckpt, bands=True).awaitTermination()
+    return out
+
+
+@register("lookup_stored_bands", LOOKUP_FILE)
+def q_lookup_stored_bands(spark, sf):
+    path = _banded_index(spark, sf)
+    return lookup(read_index(spark, path, CHUNK), _bench_queries(spark, sf), K, bands=read_bands(spark, path))
+
+
 @register("hamming_histogram",
           f"SELECT distance, CAST(count(*) AS BIGINT) AS n FROM ({PAIRS}) p GROUP BY distance")
 def q_hamming_histogram(spark, sf):
@@ -453,6 +483,30 @@ def q_plagiarism(spark, sf):
                               stride=PLAGIARISM_STRIDE, k=K)
 
 
+def _passages_sql():
+    ref = O.index(O.documents("benchmark", "item_id"), PLAGIARISM_CHUNK)
+    sub = O.index(D, PLAGIARISM_CHUNK, PLAGIARISM_STRIDE)
+    pairs = (f"SELECT s.doc_id, s.\"offset\" AS o, s.size, r.doc_id AS ref_id, r.\"offset\" AS ro, r.size AS rsize, "
+             f"bit_count(xor(s.hash, r.hash)) AS distance FROM ({sub}) s JOIN ({ref}) r "
+             f"ON bit_count(xor(s.hash, r.hash)) <= {K} WHERE s.hash <> 0 AND s.n_words > 0 AND r.n_words > 0")
+    kept = (f"SELECT *, o - ro AS diagonal FROM (SELECT *, min(distance) OVER (PARTITION BY doc_id, o) AS best "
+            f"FROM ({pairs}) p) x WHERE distance = 0 OR best > 0")
+    part = "PARTITION BY doc_id, ref_id, diagonal ORDER BY o"
+    chains = (f"SELECT *, sum(CASE WHEN before IS NULL OR o > before + {PLAGIARISM_CHUNK} THEN 1 ELSE 0 END) OVER ({part}) AS chain "
+              f"FROM (SELECT *, max(o + size) OVER ({part} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before "
+              f"FROM ({kept}) k) b")
+    return (f"SELECT doc_id, ref_id, min(o) AS doc_from, max(o + size) AS doc_to, min(ro) AS ref_from, max(ro + rsize) AS ref_to, "
+            f"CAST(count(*) AS BIGINT) AS chunks, round(avg(distance), 6) AS mean_distance FROM ({chains}) c "
+            f"GROUP BY doc_id, ref_id, diagonal, chain")
+
+
+@register("plagiarism_passages", _passages_sql())
+def q_passages(spark, sf):
+    """Which bytes of a document match which of a reference text, chained from chunks."""
+    refs = load_documents(spark, sf, "benchmark", id_col="item_id")
+    return plagiarism_passages(refs, _docs(spark, sf), chunk_size=PLAGIARISM_CHUNK, stride=PLAGIARISM_STRIDE, k=K)
+
+
 IDX_LS = O.index(O.documents(extra=("lang", "source")), CHUNK, extra=("lang", "source"))
 
 

@@ -10,12 +10,15 @@ complete index reads as 0 rows.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.validate import default_index_path
 from ..session import drop_path
+from .band_store import write_bands
 
 INDEX_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -42,17 +45,30 @@ def write_part(chunks: DataFrame, path: str, name: str) -> None:
     chunks.select(*cols).write.mode("overwrite").partitionBy("chunk_size").parquet(f"{path}/part={name}")
 
 
-def write_index(chunks: DataFrame, path: str | None = None, *, input_path: str | None = None) -> str:
-    """S3.  ``path`` defaults to ``<basename of input_path>.idx`` (P5)."""
+def write_index(chunks: DataFrame, path: str | None = None, *, input_path: str | None = None,
+                bands: bool = False) -> str:
+    """S3.  ``path`` defaults to ``<basename of input_path>.idx`` (P5); ``bands`` stores the band
+    tables of band_store, too.
+
+    The new index is written beside the old one and takes its place when it is complete, so a job that
+    fails leaves the old index as it was."""
     if path is None:
         path = default_index_path(input_path or "")
-    drop_path(chunks.sparkSession, path)
-    write_part(chunks, path, BASE_PART)
+    spark = chunks.sparkSession
+    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}"
+    write_part(chunks, beside, BASE_PART)
+    if bands:
+        write_bands(read_index(spark, beside), beside, BASE_PART)
+    drop_path(spark, path)
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    fs = new(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.rename(new(beside), new(path)):
+        raise OSError(f"{beside}: could not take the place of {path}")
     return path
 
 
-def read_index(spark: SparkSession, path: str, chunk_size: int | None = None) -> DataFrame:
-    """Every complete part of an index."""
+def complete_parts(spark: SparkSession, path: str) -> list[str]:
+    """The folders of the parts at ``path`` whose write is complete."""
     if not path:
         raise IndexReadError("no index path given")
     new = spark._jvm.org.apache.hadoop.fs.Path
@@ -65,6 +81,12 @@ def read_index(spark: SparkSession, path: str, chunk_size: int | None = None) ->
     parts = [p for p in found if fs.exists(new(new(p), "_SUCCESS"))]
     if not parts:
         raise IndexReadError(f"{path}: not a complete index")
+    return parts
+
+
+def read_index(spark: SparkSession, path: str, chunk_size: int | None = None) -> DataFrame:
+    """Every complete part of an index."""
+    parts = complete_parts(spark, path)
     df = spark.read.schema(INDEX_SCHEMA).option("basePath", path).parquet(*parts)
     if chunk_size is not None:
         df = df.where(df.chunk_size == chunk_size)

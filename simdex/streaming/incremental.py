@@ -18,7 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.validate import validate_chunk_size
 from ..operators.index import build_index
-from ..sources.index_store import write_part
+from ..sources.band_store import write_bands
+from ..sources.index_store import INDEX_SCHEMA, write_part
 
 
 def document_stream(spark: SparkSession, folder: str, schema, *, glob: str | None = None,
@@ -36,13 +37,18 @@ def document_stream(spark: SparkSession, folder: str, schema, *, glob: str | Non
 
 
 def incremental_index(stream: DataFrame, chunk_size: int, index_path: str, checkpoint: str, *,
-                      available_now: bool = True, method: str = "arrow") -> StreamingQuery:
-    """Start the stream: documents -> chunk index rows added to the index at ``index_path``."""
+                      available_now: bool = True, method: str = "arrow", bands: bool = False) -> StreamingQuery:
+    """Start the stream: documents -> chunk index rows (and with ``bands`` their band tables) added to the
+    index at ``index_path``."""
     validate_chunk_size(chunk_size)
     name = "stream-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        write_part(build_index(batch, chunk_size, method=method), index_path, f"{name}-{batch_id}")
+        part = f"{name}-{batch_id}"
+        write_part(build_index(batch, chunk_size, method=method), index_path, part)
+        if bands:
+            rows = batch.sparkSession.read.schema(INDEX_SCHEMA).parquet(f"{index_path}/part={part}")
+            write_bands(rows, index_path, part)
     writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="10 seconds")
