@@ -21,7 +21,7 @@ from .plans.dedup import dedup_documents, document_fingerprints, near_duplicate_
 from .plans.distribution import content_distribution, distance_histogram, top_buckets
 from .plans.plagiarism import plagiarism_matches, plagiarism_passages
 from .plans.search import prepare_queries, search_corpus, unanswered
-from .operators.sizing import materialize, stored
+from .operators.sizing import materialize
 from .session import work_path
 from .sources.band_store import read_bands
 from .sources.documents import load_documents, read_table
@@ -571,7 +571,7 @@ def q_incremental_append(spark, sf):
 # ---------------------------------------------------------------- exact first, hex, rejects
 
 MIXED_Q = (f"SELECT query_id, min(hash) AS qhash FROM (SELECT 'd' || doc_id AS query_id, hash FROM ({IDX}) i "
-           f"WHERE chunk_idx = 0 AND doc_id % 25 = 0 AND hash <> 0) x GROUP BY query_id")
+           f"WHERE chunk_idx = 0 AND doc_id % 20 = 0 AND hash <> 0) x GROUP BY query_id")
 MIXED_PAIRS = (f"SELECT q.query_id, c.doc_id, c.chunk_idx, c.\"offset\", c.size, c.hash, "
                f"CAST(bit_count(xor(c.hash, q.qhash)) AS INTEGER) AS distance "
                f"FROM ({IDX}) c JOIN ({MIXED_Q}) q ON bit_count(xor(c.hash, q.qhash)) <= {K}")
@@ -585,9 +585,10 @@ def _mixed_sql(key):
 
 
 def _mixed(spark, sf, scope):
-    """Queries are first chunks of documents: exact there, in copies exact or near."""
+    """The query set (ids divisible by 20) against all rows: a query is the document's first chunk, exact
+    there, in copies exact or near."""
     idx = _stored_index(spark, sf)
-    q = (idx.where((F.col("chunk_idx") == 0) & (F.col("doc_id") % 25 == 0))
+    q = (idx.where((F.col("chunk_idx") == 0) & (F.col("doc_id") % 20 == 0))
          .groupBy(F.concat(F.lit("d"), F.col("doc_id")).alias("query_id")).agg(F.min("hash").alias("qhash")))
     return lookup(idx, q, K, scope=scope)
 
@@ -605,11 +606,11 @@ def q_lookup_mixed_corpus(spark, sf):
 @register("search_exact_hits",
           f"SELECT 'd' || d.doc_id AS query_id, c.doc_id, c.chunk_idx FROM ({O.chunks(D, 300)}) c JOIN "
           f"(SELECT doc_id, content[301:600] AS t FROM ({D}) d0 WHERE octet_length(content) >= 600 "
-          f"AND doc_id % 25 = 0) d ON c.chunk = d.t")
+          f"AND doc_id % 20 = 0) d ON c.chunk = d.t")
 def q_search_exact_hits(spark, sf):
     """Texts cut from documents at aligned offsets, found again: the hits whose bytes agree."""
     docs = _docs(spark, sf)
-    cut = docs.where((F.octet_length("content") >= 600) & (F.col("doc_id") % 25 == 0)) \
+    cut = docs.where((F.octet_length("content") >= 600) & (F.col("doc_id") % 20 == 0)) \
         .select(F.concat(F.lit("d"), F.col("doc_id")).alias("query_id"),
                 F.substring("content", 301, 300).alias("bytes"))
     # the search hashes the text's bytes, so a cut inside a character stays as it is
@@ -620,8 +621,8 @@ def q_search_exact_hits(spark, sf):
 
 
 HEX_Q = (f"SELECT query_id, CASE WHEN query_id LIKE 'z%' THEN '0' WHEN query_id LIKE 'x%' THEN 'g' || h ELSE h END AS hex "
-         f"FROM (SELECT CASE doc_id % 30 WHEN 0 THEN 'z' WHEN 1 THEN 'x' ELSE 'h' END || doc_id AS query_id, "
-         f"lower(hex(hash)) AS h FROM ({IDX}) i WHERE chunk_idx = 0 AND doc_id % 30 < 4) y")
+         f"FROM (SELECT CASE chunk_idx % 10 WHEN 8 THEN 'z' WHEN 9 THEN 'x' ELSE 'h' END || doc_id || '-' || chunk_idx AS query_id, "
+         f"lower(hex(hash)) AS h FROM ({IDX}) i WHERE doc_id % 20 = 0) y")
 HEX_P = f"SELECT query_id, hex, {O.hex_parse('hex')} AS qhash FROM ({HEX_Q}) x"
 
 
@@ -632,12 +633,13 @@ HEX_P = f"SELECT query_id, hex, {O.hex_parse('hex')} AS qhash FROM ({HEX_Q}) x"
           f"'simhash value is required' WHEN m.n IS NULL THEN 'no matches found' END AS reason, "
           f"CAST(m.best AS INTEGER) AS best FROM p LEFT JOIN m ON p.query_id = m.query_id")
 def q_lookup_hex(spark, sf):
-    """Hex texts (good, zero, broken) -> parsed, looked up, or given a reason."""
+    """Hex texts of all chunks of the query set (ids divisible by 20; some broken, some zero) -> parsed,
+    looked up in all rows, or given a reason."""
     idx = _stored_index(spark, sf)
-    kind = F.when(F.col("doc_id") % 30 == 0, "z").when(F.col("doc_id") % 30 == 1, "x").otherwise("h")
+    kind = F.when(F.col("chunk_idx") % 10 == 8, "z").when(F.col("chunk_idx") % 10 == 9, "x").otherwise("h")
     h = format_hex_hash("hash")
-    q = idx.where((F.col("chunk_idx") == 0) & (F.col("doc_id") % 30 < 4)).select(
-        F.concat(kind, F.col("doc_id")).alias("query_id"),
+    q = idx.where(F.col("doc_id") % 20 == 0).select(
+        F.concat(kind, F.col("doc_id"), F.lit("-"), F.col("chunk_idx")).alias("query_id"),
         F.when(kind == "z", "0").when(kind == "x", F.concat(F.lit("g"), h)).otherwise(h).alias("hex"))
     q = materialize(q.select("query_id", parse_hex_hash("hex").alias("qhash")))
     hits = materialize(lookup(idx, q, K, scope="corpus"))
@@ -692,20 +694,30 @@ def q_chain_components(spark, sf):
 
 # ---------------------------------------------------------------- raw files
 
-FILES_BLOB = ("SELECT source AS doc_id, encode(string_agg(text || chr(10), '' ORDER BY doc_id)) AS content "
-              "FROM documents WHERE source IS NOT NULL AND text IS NOT NULL GROUP BY source")
+FILE_DOCS = 512   # numbers of documents to a file
+FILES_BLOB = (f"SELECT coalesce(source, 'none') || '/' || doc_id // {FILE_DOCS} AS doc_id, "
+              f"encode(string_agg(text || chr(10), '' ORDER BY doc_id)) AS content "
+              f"FROM documents WHERE text IS NOT NULL GROUP BY coalesce(source, 'none'), doc_id // {FILE_DOCS}")
 FILES_IDX = O.index(FILES_BLOB, CHUNK)
 
 
 def _raw_files(spark, sf):
-    """The documents as raw text files, one for each source."""
+    """The documents as raw text files, several for each source."""
     path = work_path(spark, "files")
-    (read_table(spark, sf, "documents").where("source is not null and text is not null")
-     .select("source", "doc_id", "text").repartition("source").sortWithinPartitions("source", "doc_id")
-     .select("source", "text").write.partitionBy("source").text(path))
+    docs = read_table(spark, sf, "documents").where("text is not null").select(
+        F.coalesce("source", F.lit("none")).alias("source"), F.floor(F.col("doc_id") / FILE_DOCS).alias("file"), "doc_id", "text")
+    (docs.repartition("source", "file").sortWithinPartitions("source", "file", "doc_id")
+     .select("source", "file", "text").write.partitionBy("source", "file").text(path))
     return path
 
 
+FILE_NAME = r"source=([^/]+)/file=([0-9]+)/"
+
+
+def _file_name():
+    return F.concat(F.regexp_extract("path", FILE_NAME, 1), F.lit("/"), F.regexp_extract("path", FILE_NAME, 2)).alias("source")
+
+
 def _files_index(spark, sf):
     from .operators.index import index_chunks
     from .sources.ranged_files import read_file_chunks
@@ -716,8 +728,7 @@ def _files_index(spark, sf):
 
 @register("files_index", f"SELECT doc_id AS source, chunk_idx, \"offset\", size, n_words, hash FROM ({FILES_IDX}) i")
 def q_files_index(spark, sf):
-    return _files_index(spark, sf).select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"),
-                                          "chunk_idx", "offset", "size", "n_words", "hash")
+    return _files_index(spark, sf).select(_file_name(), "chunk_idx", "offset", "size", "n_words", "hash")
 
 
 @register("files_lookup_report",
@@ -734,7 +745,7 @@ def q_files_lookup_report(spark, sf):
     hits = lookup(idx, _bench_queries(spark, sf), K)
     paths = idx.select("doc_id", "path").distinct()
     return file_content(hits.join(paths, "doc_id")).select(
-        "query_id", F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"), "offset", "size", "distance",
+        "query_id", _file_name(), "offset", "size", "distance",
         F.hex("content").alias("content_hex"))
 
 
