@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -149,6 +150,29 @@ def test_blocks():
     assert html_text.blocks(None) == html_text.blocks("") == html_text.blocks("<p></p><script>x") == []
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<article><p>one</p><a class="social">f</a><p>two</p><p>three</p></article>', ["one", "two", "three"]),
+    ('<article><p>one <span class="ad">x <span>y</span> z</span> tail</p></article>', ["one tail"]),
+    ('<article><p>one <b class="promo">x</p><p>two</p></article>', ["one", "two"]),
+    ('<body class="has-sidebar"><article><p>one</p></article></body>', ["one"]),
+    ('<div id="page" class="no-sidebar"><main><p>one</p></main></div>', ["one"]),
+    ('<div class="page sidebar-right"><div class="sidebar">s</div><article><p>one</p></article><div class="sidebar">s</div></div>', ["one"]),
+    ('<article class="post related-topics"><p>one</p></article>', ["one"]),
+    ('<form id="all"><div><article><p>one</p><form>f</form><p>two</p></article></div></form>', ["one", "two"]),
+    ('<aside><article><p>card</p></article></aside><article><p>one</p></article><div class="related"><article>card</article></div>', ["one"]),
+    ('<article><p>one</p><section class="comments"><p>me too</p></section><img class="ad"><p>two</p></article>', ["one", "two"]),
+    ('<nav><article>x</article></nav><main hidden>y</main><main>one</main>', ["one"])])
+def test_marked_elements(page, want):
+    assert [t for z, t in html_text.blocks(page) if z == html_text.ARTICLE] == want
+
+
+def test_long_page():
+    """A page of megabytes, and elements that nest deep or never end, take linear time."""
+    for page in ("<article>" + "<p>one <b>two</b> three</p>" * 60_000, "<article>" + "<div>a" * 20_000, "<article><p>" + "x<span class=ad>y" * 300):
+        t = time.time()
+        assert html_text.blocks(page) and time.time() - t < 20
+
+
 @pytest.mark.parametrize("shard", [5000, 2])
 def test_extract(spark, shard, monkeypatch):
     monkeypatch.setattr(html_text, "SHARD_PAGES", shard)
