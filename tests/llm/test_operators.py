@@ -377,6 +377,21 @@ def test_pii(spark, odd_docs, no_docs):
     assert pii.find(no_docs, pii.fit(no_docs)).count() == 0
 
 
+def test_long_digits():
+    for t in ("1" * 1_000_000, "1." * 300_000, "12.3.4." * 100_000 + "9" * 300_000):
+        start = time.time()
+        got = [s for s in pii.base_spans(t) if s[2] == 1]
+        assert time.time() - start < 10
+    assert got[0] == (0, 9, 1) and pii.base_spans("1" * 40 + ".2.3.4") == [] == [s for s in brute_spans("1" * 40 + ".2.3.4")]
+
+
+def test_disguised_candidates():
+    for t in ("write to bob (AT) mail (DOT) com", "write to bob at\nmail dot com", "write to bob [at] mail . com"):
+        assert any(k == 0 for _, _, k in pii.candidates(t)), t
+    x, y, _ = pii.examples(["write to bob (at) mail (dot) com", "we met at noon. Then"])
+    assert len(y) == 1 and not y.any()
+
+
 # -- 7: language -------------------------------------------------------------
 
 
@@ -523,6 +538,27 @@ def test_bpe(spark, odd_docs, odd_rows, no_docs):
     assert bpe.encode(no_docs, path).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["letters", "digits", "japanese", "one letter", "short and long"])
+def test_bpe_long_pretokens(kind, monkeypatch):
+    """Pre-tokens of up to a megabyte, in seconds, as the library has them."""
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rng = random.Random(1)
+    make = {"letters": lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000)),
+            "digits": lambda: "".join(rng.choice("0123456789") for _ in range(1_000_000)),
+            "japanese": lambda: "".join(rng.choice("日本語のテキストを切る東京都かなカナ漢字山川") for _ in range(300_000)),
+            "one letter": lambda: "a" * 1_000_000,
+            "short and long": lambda: " ".join("".join(rng.choice("thein") for _ in range(rng.choice([3, 30, 300]))) for _ in range(3000))}
+    text = make[kind]()
+    if kind == "short and long":
+        monkeypatch.setattr(bpe, "LONG", 25)
+    vocab = bpe.Vocabulary(path)
+    start = time.time()
+    got = np.frombuffer(bpe.Encoder(vocab, bpe.compile_lexicon([], [])).encode([text])[0], "<u4").tolist()
+    assert time.time() - start < 60
+    assert got == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
 def test_lexicon_is_minimal():
     words = [b"stop", b"top", b"tops", b"stops", b"s", b""]
     blob = bpe.compile_lexicon(words, [np.arange(i, dtype=np.int64) for i in range(len(words))])
