@@ -19,6 +19,7 @@ from .simhash import NO_FEATURES_HASH
 
 _WORD = re.compile(rb"[a-z0-9_]+")
 SLICE_BYTES = 1 << 20
+BLOCK_CHUNKS = 1 << 14    # chunks whose votes are taken at a time (4 MB of counts)
 CACHE_WORDS = 200_000
 
 try:  # ship the code with the tasks
@@ -53,11 +54,30 @@ def _vote(ones: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(n > 0, bits, NO_FEATURES_HASH)
 
 
+def _edges(text: bytes, which: np.ndarray, lo: np.ndarray, hi: np.ndarray, votes: np.ndarray, words: np.ndarray,
+           bits: WordBits) -> None:
+    """Add the parts ``text[lo:hi]`` of cut words to the votes of the chunks ``which`` (each once)."""
+    if len(which):
+        votes[which] += bits.rows([text[a:b] for a, b in zip(lo.tolist(), hi.tolist())])
+        words[which] += 1
+
+
 def chunk_hashes(content: bytes, lengths: np.ndarray, bits: WordBits
-                 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(length, chunk numbers, fingerprints)`` of every chunk, slice by slice."""
+                 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(numbers of lengths, chunk numbers, fingerprints)`` of the chunks at all ``lengths`` (ascending,
+    distinct), in blocks of ``BLOCK_CHUNKS``.
+
+    All lengths from the text's own on have the same single chunk: it comes once, with the number of
+    the first of them.  The others are answered together from one running sum, so the cost follows
+    the number of chunks, not the number of lengths.
+    """
     text = content.lower()  # of bytes: ASCII letters only
-    n, longest = len(text), int(lengths.max()) if len(lengths) else 0
+    n = len(text)
+    below = int(np.searchsorted(lengths, n))
+    whole = below < len(lengths)          # the text as one chunk
+    all_ones, all_words = np.zeros(64, np.int64), 0
+    steps = lengths[:below].astype(np.int64)
+    longest = int(steps[-1]) if below else 0
     for a in range(0, n, SLICE_BYTES):
         b = min(n, a + SLICE_BYTES)       # chunks that start in [a, b)
         end = min(n, b + longest)
@@ -67,35 +87,34 @@ def chunk_hashes(content: bytes, lengths: np.ndarray, bits: WordBits
         sums = np.zeros((len(found) + 1, 64), np.int32)
         if found:
             np.cumsum(bits.rows([m[0] for m in found]), axis=0, out=sums[1:], dtype=np.int32)
-        for length in lengths.tolist():
-            first = -(-a // length)
-            chunk = np.arange(first, -(-b // length))
-            if not len(chunk):
-                continue
-            lo = chunk * length
-            hi = np.minimum(lo + length, n)
+        if whole:                         # words that start in [a, b)
+            x, y = np.searchsorted(starts, [a, b]) if b < n else (np.searchsorted(starts, a), len(found))
+            all_ones += sums[y] - sums[x]
+            all_words += int(y - x)
+        first = -(-a // steps)
+        upto = np.cumsum(-(-b // steps) - first)
+        for at in range(0, int(upto[-1]) if below else 0, BLOCK_CHUNKS):
+            row = np.arange(at, min(at + BLOCK_CHUNKS, int(upto[-1])))
+            number = np.searchsorted(upto, row, "right")
+            chunk = row - np.where(number > 0, upto[number - 1], 0) + first[number]
+            lo = chunk * steps[number]
+            hi = np.minimum(lo + steps[number], n)
             i = np.searchsorted(starts, lo, "left")      # words from here on start inside
             j = np.searchsorted(ends, hi, "right")       # words before this end inside
-            whole = np.maximum(j - i, 0)
-            ones = sums[np.maximum(i, j)] - sums[i]
-            # what an edge cuts: a word that goes on from before, or beyond the end
-            left = (i > 0) & (ends[np.maximum(i - 1, 0)] > lo) if len(starts) else np.zeros(len(lo), bool)
-            right = (j < len(starts)) & (starts[np.minimum(j, len(starts) - 1)] < hi) if len(starts) else left
-            both = left & right & (j == i - 1)           # one word longer than the chunk
-            right &= ~both
-            # a word that starts before the chunk is no right part
-            right &= j >= i
-            pieces, owner = [], []
-            for c in np.nonzero(left)[0].tolist():
-                pieces.append(text[lo[c]:min(int(ends[i[c] - 1]), int(hi[c]))])
-                owner.append(c)
-            for c in np.nonzero(right)[0].tolist():
-                pieces.append(text[max(int(starts[j[c]]), int(lo[c])):hi[c]])
-                owner.append(c)
-            if pieces:
-                np.add.at(ones, np.array(owner), bits.rows(pieces).astype(np.int32))
-                whole += np.bincount(owner, minlength=len(lo))
-            yield length, chunk, _vote(ones, whole)
+            words = np.maximum(j - i, 0)
+            votes = sums[np.maximum(i, j)] - sums[i]
+            if found:
+                # what an edge cuts: a word that goes on from before, or beyond the end
+                last = np.maximum(i - 1, 0)
+                left = np.nonzero((i > 0) & (ends[last] > lo))[0]
+                _edges(text, left, lo[left], np.minimum(ends[last[left]], hi[left]), votes, words, bits)
+                # a word that starts before the chunk (one longer than it) is no right part
+                after = np.minimum(j, len(found) - 1)
+                right = np.nonzero((j < len(found)) & (starts[after] < hi) & (j >= i))[0]
+                _edges(text, right, starts[after[right]], hi[right], votes, words, bits)
+            yield number, chunk, _vote(votes, words)
+    if whole and n:
+        yield np.array([below]), np.array([0]), _vote(all_ones[None, :], np.array([all_words]))
 
 
 def _word_start(text: bytes, at: int) -> int:

@@ -2,9 +2,10 @@
 fingerprint, and look up the query's SimHash exact-first.
 
 One pass over the corpus: a task tokenises and hashes each document once, takes the
-votes of the chunks of every query length from running sums
-(``functions.chunk_votes``), compares them with the queries of that length, and
-sends on hits only, with their bytes.  Nothing that doesn't match is written or
+votes of the chunks of all query lengths from running sums
+(``functions.chunk_votes``), compares them with the queries of their length, and
+sends on hits only, with their bytes.  Lengths from a document's own size on share its one
+chunk, so many distinct lengths cost no more than their chunks.  Nothing that doesn't match is written or
 shuffled.  Queries go to the tasks in blocks of ``QUERY_BLOCK`` rows (a broadcast of
 bounded size); more queries take more passes.
 
@@ -29,7 +30,7 @@ from ..operators.lookup import valid_queries
 from ..operators.sizing import materialize, n_rows
 
 QUERY_BLOCK = 50_000
-_PAIRS = 1 << 22          # hash pairs compared at a time
+_PAIRS = 1 << 20          # hash pairs compared at a time
 
 
 def prepare_queries(queries: DataFrame, *, id_col: str = "query_id", text_col: str = "text",
@@ -48,17 +49,28 @@ def prepare_queries(queries: DataFrame, *, id_col: str = "query_id", text_col: s
     return q.select("query_id", F.octet_length("__qbytes").cast("int").alias("chunk_size"), "qhash")
 
 
-def _hits(content: bytes, lengths: np.ndarray, by_length: dict[int, np.ndarray], hashes: np.ndarray, k: int,
+def _hits(content: bytes, lengths: np.ndarray, first: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, k: int,
           bits: WordBits) -> list[tuple[int, int, int, int, int]]:
-    """``(query number, length, chunk number, hash, distance)`` of one document."""
+    """``(query number, length, chunk number, hash, distance)`` of one document.
+
+    Queries are in the order of their sizes; those of ``lengths[i]`` start at ``first[i]``."""
     out = []
-    for length, chunk, h in chunk_hashes(content, lengths, bits):
-        q = by_length[length]
-        step = max(1, _PAIRS // len(q))
-        for a in range(0, len(h), step):
-            d = np.bitwise_count((h[a:a + step, None] ^ hashes[q][None, :]).view(np.uint64))
-            for i, j in zip(*(x.tolist() for x in np.nonzero(d <= k))):
-                out.append((int(q[j]), length, int(chunk[a + i]), int(h[a + i]), int(d[i, j])))
+    for number, chunk, h in chunk_hashes(content, lengths, bits):
+        # a chunk meets the queries of its length; the whole text those of all lengths from its own on
+        upto = np.where(lengths[number] >= len(content), len(sizes), first[number + 1])
+        total = np.cumsum(upto - first[number])
+        done = 0
+        while done < len(number):
+            before = int(total[done - 1]) if done else 0
+            end = max(done + 1, int(np.searchsorted(total, before + _PAIRS, "right")))
+            count = np.diff(total[done:end], prepend=before)
+            row = np.repeat(np.arange(done, end), count)
+            q = np.arange(len(row)) - np.repeat(total[done:end] - count - before, count) + first[number[row]]
+            d = np.bitwise_count((h[row] ^ hashes[q]).view(np.uint64))
+            hit = np.nonzero(d <= k)[0]
+            out += zip(q[hit].tolist(), sizes[q[hit]].tolist(), chunk[row[hit]].tolist(), h[row[hit]].tolist(),
+                       d[hit].tolist())
+            done = end
     return out
 
 
@@ -67,12 +79,13 @@ def _search_block(docs: DataFrame, rows: list, k: int, scope: str, id_type: str)
     ids = [r["query_id"] for r in rows]
     sizes = np.array([r["chunk_size"] for r in rows], np.int64)
     hashes = np.array([r["qhash"] for r in rows], np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast((ids, sizes, hashes))
+    order = np.argsort(sizes, kind="stable")
+    shared = docs.sparkSession.sparkContext.broadcast(([ids[i] for i in order], sizes[order], hashes[order]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, sizes, hashes = shared.value
-        lengths = np.unique(sizes)
-        by_length = {n: np.nonzero(sizes == n)[0] for n in lengths.tolist()}
+        lengths, first = np.unique(sizes, return_index=True)
+        first = np.append(first, len(sizes))
         bits = WordBits()
         for batch in batches:
             out = []
@@ -80,7 +93,7 @@ def _search_block(docs: DataFrame, rows: list, k: int, scope: str, id_type: str)
                 raw = content.as_py()
                 if not raw:
                     continue
-                hits = _hits(raw, lengths, by_length, hashes, k, bits)
+                hits = _hits(raw, lengths, first, sizes, hashes, k, bits)
                 if scope == "file":  # a query with an exact hit in the file has exact hits only
                     exact = {h[0] for h in hits if h[4] == 0}
                     hits = [h for h in hits if h[4] == 0 or h[0] not in exact]

@@ -24,6 +24,7 @@ from .plans.search import prepare_queries, search_corpus, unanswered
 from .operators.sizing import materialize
 from .session import work_path
 from .sources.band_store import read_bands
+from .sources.bucketed_store import lookup_bucketed, write_bucketed
 from .sources.documents import load_documents, read_table
 from .sources.index_store import read_index, write_index
 
@@ -34,6 +35,7 @@ K = 10
 TOP_N = 5
 PLAGIARISM_CHUNK = 128
 PLAGIARISM_STRIDE = 32
+BUCKETED_HOT = 20
 
 QUERIES = {}
 ORACLE = {}
@@ -174,6 +176,19 @@ def q_index_roundtrip(spark, sf):
         "doc_id", "chunk_size", "chunk_idx", "offset", "size", "n_words", "hash")
 
 
+@register("lookup_bucketed",
+          f"WITH i AS MATERIALIZED ({IDX}) SELECT q.doc_id || '-' || q.chunk_idx AS query_id, i.doc_id, i.chunk_idx, i.\"offset\", i.size, "
+          f"i.hash, CAST(0 AS INTEGER) AS distance, 'exact' AS match_type FROM i JOIN i q ON i.hash = q.hash "
+          f"WHERE q.doc_id % 20 = 0 AND q.hash <> 0")
+def q_lookup_bucketed(spark, sf):
+    """All chunks of the query set (ids divisible by 20) looked up in a bucketed index of all rows."""
+    idx = _stored_index(spark, sf)
+    table = write_bucketed(idx, work_path(spark, "bucketed"), 16, hot_rows=BUCKETED_HOT)
+    asked = idx.where("doc_id % 20 = 0").select(F.concat_ws("-", "doc_id", "chunk_idx").alias("query_id"),
+                                                F.col("hash").alias("qhash"))
+    return lookup_bucketed(table, asked)
+
+
 @register("hash_log", f"SELECT doc_id, chunk_idx, lower(hex(hash)) || '=>' || \"offset\" AS line "
                       f"FROM ({IDX}) i WHERE chunk_idx < 10")
 def q_hash_log(spark, sf):
@@ -383,8 +398,7 @@ def q_matches_json(spark, sf):
 
 # ---------------------------------------------------------------- composed jobs
 
-def _search_sql(scope_key: str) -> str:
-    qs = O.queries()
+def _search_sql(scope_key: str, qs: str = O.queries()) -> str:
     lens = f"SELECT DISTINCT chunk_size FROM ({qs}) q"
     idx = O.with_simhash(
         f"SELECT doc_id, chunk_size, CAST(o // chunk_size AS INTEGER) AS chunk_idx, "
@@ -423,6 +437,17 @@ def q_search_corpus(spark, sf):
     return _search(spark, sf, "corpus")
 
 
+@register("search_documents", _search_sql("query_id, doc_id", O.queries(
+    "(SELECT * FROM documents WHERE doc_id % 20 = 0) d20", "doc_id")))
+def q_search_documents(spark, sf):
+    """Whole documents (the query set: ids divisible by 20) searched in all documents, each at its own
+    length: as many lengths as texts."""
+    asked = read_table(spark, sf, "documents").where("doc_id % 20 = 0").select(F.col("doc_id").cast("string").alias("query_id"), "text")
+    return search_corpus(_docs(spark, sf), asked, K, scope="file").select(
+        "chunk_size", "query_id", "doc_id", "chunk_idx", "offset", "size", "hash", "distance", "match_type",
+        F.hex("content").alias("content_hex"))
+
+
 FP = O.with_simhash(D, "content", ["doc_id"], features="shingle", n_col="n_features")
 FPW = f"SELECT * FROM ({FP}) f WHERE n_features > 0"
 GROUPS = f"SELECT hash, min(doc_id) AS rep FROM ({FPW}) f GROUP BY hash"
@@ -720,8 +745,8 @@ def _file_name():
 
 def _files_index(spark, sf):
     from .operators.index import index_chunks
-    from .sources.ranged_files import read_file_chunks
-    chunks = read_file_chunks(spark, _raw_files(spark, sf), CHUNK, recursive=True, range_bytes=16 * CHUNK)
+    from .sources.file_source import read_chunks
+    chunks = read_chunks(spark, _raw_files(spark, sf), CHUNK, recursive=True, range_bytes=64 * CHUNK)
     path = write_index(index_chunks(chunks), work_path(spark, "index"))
     return read_index(spark, path, CHUNK)
 

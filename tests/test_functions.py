@@ -137,8 +137,8 @@ def test_chunk_votes_equal_the_chunks_own_hashes(spark):
     lengths = np.array([1, 3, 17, 64, 500])
     old, chunk_votes.SLICE_BYTES = chunk_votes.SLICE_BYTES, 50
     try:
-        got = {(n, c): h for n, cs, hs in chunk_votes.chunk_hashes(text.encode(), lengths, chunk_votes.WordBits())
-               for c, h in zip(cs.tolist(), hs.tolist())}
+        got = {(int(lengths[n]), c): h for ns, cs, hs in chunk_votes.chunk_hashes(text.encode(), lengths, chunk_votes.WordBits())
+               for n, c, h in zip(ns.tolist(), cs.tolist(), hs.tolist())}
     finally:
         chunk_votes.SLICE_BYTES = old
     docs = docs_df(spark, {1: text})
