@@ -20,12 +20,15 @@ from .operators.results import (chunk_content, hash_log, lookup_report, match_co
 from .plans.dedup import dedup_documents, document_fingerprints, near_duplicate_pairs
 from .plans.distribution import content_distribution, distance_histogram, top_buckets
 from .plans.plagiarism import plagiarism_matches, plagiarism_passages
+from .plans.sketches import ITEM_ERROR, MAX_ITEMS, RELATIVE_ERROR, sketched_distribution, write_sketches
 from .plans.search import prepare_queries, search_corpus, unanswered
 from .operators.sizing import materialize
 from .session import work_path
 from .sources.band_store import read_bands
 from .sources.bucketed_store import lookup_bucketed, write_bucketed
 from .sources.documents import load_documents, read_table
+from .sources.located_index import (add_documents, current_documents, located_content, located_documents,
+                                    read_located, with_places)
 from .sources.index_store import read_index, write_index
 
 # Fixed parameters of the registered queries.
@@ -349,6 +352,20 @@ def q_chunk_content(spark, sf):
     return chunk_content(m, docs).select(*m.columns, F.hex("content").alias("content_hex"))
 
 
+@register("located_content", f"SELECT {MATCH_COLS}, hex(content) AS content_hex, CAST(NULL AS VARCHAR) AS reason FROM ({CONTENT}) x")
+def q_located_content(spark, sf):
+    """Content of hits read from their row groups, of an index whose query set (ids divisible by 20) was
+    written a second time and so replaced."""
+    docs = located_documents(spark, f"{sf.rstrip('/')}/documents.parquet")
+    path = work_path(spark, "located")
+    add_documents(docs, CHUNK, path)
+    add_documents(docs.where("doc_id % 20 = 0"), CHUNK, path)
+    idx = materialize(read_located(spark, path))
+    hits = with_places(lookup(idx, _bench_queries(spark, sf), K), idx)
+    return located_content(hits, current_documents(spark, path)).select(
+        *MATCH_COLS.replace('"', "").split(", "), F.hex("content").alias("content_hex"), "reason")
+
+
 @register("lookup_report",
           f"SELECT {MATCH_COLS}, 'Query found in chunk at byte offset: ' || \"offset\" AS header, "
           f"md5(content) AS text_md5 FROM ({CONTENT}) x")
@@ -555,6 +572,27 @@ def q_distribution(spark, sf):
     return content_distribution(idx)
 
 
+@register("distribution_sketches",
+          f"SELECT lang, source, CAST(count(*) AS BIGINT) AS n_chunks, CAST(sum(size) AS BIGINT) AS n_bytes, "
+          f"true AS distinct_near, true AS largest_near FROM ({IDX_LS}) i GROUP BY lang, source")
+def q_sketches(spark, sf):
+    """Sketches of two parts merged, held against the exact figures: distinct hashes within four
+    standard errors, the largest bucket within the sketch's bound."""
+    idx = materialize(build_index(_docs(spark, sf, extra=("lang", "source")), CHUNK, keep=("doc_id", "lang", "source")))
+    path = work_path(spark, "sketches")
+    write_sketches(idx.where("chunk_idx < 2"), path, "heads")
+    write_sketches(idx.where("chunk_idx >= 2"), path, "rest")
+    exact = content_distribution(idx).select(F.col("lang").alias("l"), F.col("source").alias("s"),
+                                             F.col("n_distinct_hashes").alias("n_exact"), "largest_bucket")
+    found = sketched_distribution(spark, path, 1)
+    off = F.abs(F.col("n_distinct_hashes") - F.col("n_exact"))
+    top_off = F.abs(F.col("top")[0]["count"] - F.col("largest_bucket"))
+    return found.join(exact, F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s"))).select(
+        "lang", "source", "n_chunks", "n_bytes",
+        (off <= F.greatest(F.lit(1.0), 4 * RELATIVE_ERROR * F.col("n_exact"))).alias("distinct_near"),
+        (top_off <= ITEM_ERROR / MAX_ITEMS * F.col("n_chunks")).alias("largest_near"))
+
+
 @register("top_buckets",
           f"SELECT * FROM (SELECT lang, hash, n_chunks, CAST(row_number() OVER (PARTITION BY lang "
           f"ORDER BY n_chunks DESC, hash) AS INTEGER) AS rank FROM (SELECT lang, hash, "
