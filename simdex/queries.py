@@ -27,8 +27,8 @@ from .session import work_path
 from .sources.band_store import read_bands
 from .sources.bucketed_store import lookup_bucketed, write_bucketed
 from .sources.documents import load_documents, read_table
-from .sources.located_index import (add_documents, current_documents, located_content, located_documents,
-                                    read_located, with_places)
+from .sources.located_index import (add_documents, current_documents, joined_content, located_content, located_documents,
+                                    opened_by_tasks, read_located, with_places)
 from .sources.index_store import read_index, write_index
 
 # Fixed parameters of the registered queries.
@@ -362,7 +362,9 @@ def q_located_content(spark, sf):
     add_documents(docs.where("doc_id % 20 = 0"), CHUNK, path)
     idx = materialize(read_located(spark, path))
     hits = with_places(lookup(idx, _bench_queries(spark, sf), K), idx)
-    return located_content(hits, current_documents(spark, path)).select(
+    known = current_documents(spark, path)
+    found = located_content(hits, known) if opened_by_tasks(sf) else joined_content(hits, known, docs)
+    return found.select(
         *MATCH_COLS.replace('"', "").split(", "), F.hex("content").alias("content_hex"), "reason")
 
 

@@ -37,6 +37,7 @@ BATCH_BYTES = 4 << 20
 READ_ROWS = 256
 STALE = "source has changed"
 MISSING = "source is missing"
+STORES = ("file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss")   # fixed values: schemes that pyarrow.fs opens
 DOCUMENTS = "doc_id bigint, path string, row bigint, n_bytes bigint, md5 string, withdrawn boolean"
 CHUNKS = "doc_id bigint, path string, row bigint, chunk_size int, chunk_idx int, offset bigint, size int, n_words int, hash bigint"
 
@@ -158,11 +159,30 @@ def _texts(path: str, rows: list[int], text_col: str) -> Iterator[tuple[int, byt
         row = next(left, None)
 
 
+def opened_by_tasks(path: str) -> bool:
+    """Whether Python tasks can open files of the path's store (others are reached by Spark's readers only)."""
+    return path.split("://")[0].split(":/")[0] in STORES or path.startswith("/")
+
+
+def joined_content(hits: DataFrame, documents: DataFrame, source: DataFrame) -> DataFrame:
+    """``located_content`` for stores that only Spark's readers reach: ``source`` (``located_documents`` of the
+    table) is joined by file and row; its text moves if the hits are too many for a broadcast."""
+    hits = materialize(hits)
+    digests = join_small(documents.select("path", "row", "md5"), hits, ["path", "row"])
+    found = join_small(source.select("path", "row", F.col("content").alias("__src")), digests, ["path", "row"])
+    same = F.md5("__src") == F.col("md5")
+    content = F.substring("__src", (F.col("offset") + 1).cast("int"), F.col("size"))
+    there = materialize(found.select(*hits.columns, F.when(same, content).alias("content"),
+                                     F.when(~same, F.lit(STALE)).alias("reason")))
+    gone = hits.join(there.select("path", "row").distinct(), ["path", "row"], "left_anti")
+    return there.unionByName(gone.select(*hits.columns, F.lit(None).cast("binary").alias("content"), F.lit(MISSING).alias("reason")))
+
+
 def located_content(hits: DataFrame, documents: DataFrame, *, text_col: str = "text") -> DataFrame:
     """``hits`` (of ``with_places``) with ``content`` BINARY and ``reason``, read from their row groups.
 
     ``documents`` are the index's ``current_documents``.  ``reason`` is null where the text is as it was indexed;
-    ``content`` is null otherwise."""
+    ``content`` is null otherwise.  The files' store must be one that ``opened_by_tasks``."""
     known = documents.select("path", "row", F.col("md5").alias("__md5"))
     cols = hits.columns
     # hits are the small side in general, the documents' table holds no text

@@ -13,8 +13,8 @@ from simdex.plans.distribution import content_distribution
 from simdex.plans.sketches import sketched_distribution, write_sketches
 from simdex.sources import located_index
 from simdex.sources.index_store import IndexReadError
-from simdex.sources.located_index import (MISSING, STALE, add_documents, current_documents, located_content,
-                                          located_documents, read_located, with_places, withdraw)
+from simdex.sources.located_index import (MISSING, STALE, add_documents, current_documents, joined_content, located_content,
+                                          located_documents, opened_by_tasks, read_located, with_places, withdraw)
 
 WORDS = ["river", "stone", "über", "hill", "x1", "under"]
 
@@ -57,6 +57,16 @@ def test_content_of_every_chunk(spark, corpus, tmp_dir, monkeypatch):
     add_documents(located_documents(spark, docs), 40, path)
     found = every_chunk(spark, path)
     assert got(found) == chunks_of(texts)
+    idx = read_located(spark, path)
+    asked = idx.select(F.col("hash").cast("string").alias("query_id"), F.col("hash").alias("qhash")).distinct()
+    hits = with_places(lookup_exact(idx, asked), idx)
+    table = located_documents(spark, docs)
+    assert got(joined_content(hits, current_documents(spark, path), table)) == chunks_of(texts)
+    part = joined_content(hits, current_documents(spark, path), table.where("doc_id <> 302").withColumn(
+        "content", F.when(F.col("doc_id") == 9, F.encode(F.lit("other"), "UTF-8")).otherwise(F.col("content"))))
+    assert {r.doc_id: r.reason for r in part.where("reason is not null").collect()} == {9: STALE, 302: MISSING, None: MISSING}
+    assert part.count() == sum(chunks_of(texts).values())
+    assert [opened_by_tasks(p) for p in ("/a/b", "file:/a", "hdfs://n/a", "viewfs://c/a")] == [True, True, True, False]
     assert found.where("reason is not null").count() == 0
 
 
