@@ -141,6 +141,22 @@ def majority_vote(hashes: pa.ListArray, max_words: int = 1 << 18) -> np.ndarray:
     return out
 
 
+def weighted_vote(hashes: pa.ListArray, weights: pa.ListArray, max_words: int = 1 << 17) -> np.ndarray:
+    """``majority_vote`` where a feature counts ``weights`` times: a bit is 1 when its weights for it are at
+    least those against it.  A null row is one without features."""
+    counts = hashes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    values = np.ascontiguousarray(hashes.flatten().to_numpy(zero_copy_only=False), np.int64)
+    w = weights.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(counts)), counts)
+    total = np.zeros((len(counts), HASH_BITS), np.int64)
+    for a in range(0, len(values), max_words):
+        part = slice(a, a + max_words)
+        bits = np.unpackbits(values[part].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int64)
+        first = np.nonzero(np.diff(row[part], prepend=-1))[0]
+        total[row[part][first]] += np.add.reduceat((2 * bits - 1) * w[part][:, None], first, axis=0)
+    return np.packbits(total >= 0, axis=1, bitorder="little").view("<i8").reshape(-1)
+
+
 def bytes_to_hash_lists(lists: pa.ListArray) -> pa.ListArray:
     """list<binary(8 bytes)> -> list<int64>, reading each value as big-endian."""
     flat = lists.flatten()
@@ -158,6 +174,7 @@ def bytes_to_hash_lists(lists: pa.ListArray) -> pa.ListArray:
                                     pa.array(vals, type=pa.int64()))
 
 
+_WEIGHTED_UDF = None
 _VOTE_UDF = None
 _VOTE_BYTES_UDF = None
 
@@ -190,6 +207,17 @@ def _vote_udf():
     return _VOTE_UDF
 
 
+def weighted_simhash(hashes, weights) -> Column:
+    """The 64-bit fingerprint of an ``array<bigint>`` of feature hashes and one of their whole weights."""
+    global _WEIGHTED_UDF
+    if _WEIGHTED_UDF is None:
+        @F.arrow_udf("bigint")
+        def simhash_vote_weighted(h: pa.Array, w: pa.Array) -> pa.Array:
+            return pa.array(weighted_vote(h, w), type=pa.int64())
+        _WEIGHTED_UDF = simhash_vote_weighted
+    return _WEIGHTED_UDF(_col(hashes), _col(weights))
+
+
 def with_simhash(df, text_col: str, out: str = "hash", *, features: str = "word",
                  shingle_n: int = 3, word_pattern: str = DEFAULT_WORD_PATTERN,
                  token_hash: str = "md5", n_features_col: str | None = "n_words",

@@ -60,6 +60,20 @@ def with_simhash(source: str, blob: str, keep: list[str], *, out: str = "hash",
     return f"SELECT {keep_s}{n_sel}, {to_signed('__u')} AS {out} FROM ({mid}) __m"
 
 
+def weighted_simhash(docs_sql: str) -> str:
+    """doc_id, n_features, hash: words weighted by floor(1000 * ln(N / df)), 64 sums a document."""
+    terms = (f"SELECT doc_id, h, count(*) AS tf FROM (SELECT doc_id, unnest({feature_hashes(blob_words('content'))}) AS h "
+             f"FROM ({docs_sql}) __d) __e GROUP BY doc_id, h")
+    bits = " + ".join(f"CASE WHEN sum(CASE WHEN ((h >> {i}) & 1) = 1 THEN w ELSE -w END) >= 0 "
+                      f"THEN {1 << i}::UBIGINT ELSE 0::UBIGINT END" for i in range(64))
+    return (f"WITH t AS MATERIALIZED ({terms}), n AS (SELECT count(*) AS n FROM ({docs_sql}) __d), "
+            f"d AS (SELECT h, floor(1000 * ln((SELECT CAST(n AS DOUBLE) FROM n) / count(*)))::BIGINT AS weight FROM t GROUP BY h), "
+            f"v AS (SELECT doc_id, CAST(sum(tf) AS INTEGER) AS n_features, {bits} AS u FROM "
+            f"(SELECT t.doc_id, t.h, t.tf, t.tf * d.weight AS w FROM t JOIN d ON t.h = d.h) x GROUP BY doc_id) "
+            f"SELECT b.doc_id, coalesce(n_features, 0) AS n_features, coalesce({to_signed('u')}, -1) AS hash "
+            f"FROM ({docs_sql}) b LEFT JOIN v ON b.doc_id = v.doc_id")
+
+
 def documents(table: str = "documents", id_col: str = "doc_id", text_col: str = "text",
               extra: tuple[str, ...] = ()) -> str:
     ex = "".join(f", {c}" for c in extra)

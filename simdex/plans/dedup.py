@@ -28,6 +28,7 @@ from ..functions.hexcodec import hamming
 from ..operators.hamming_join import hamming_pairs, layout
 from ..operators.sizing import materialize, stored
 from .graph import connected_components
+from .weighted import weighted_fingerprints
 
 DEFAULT_DEDUP_DISTANCE = 10
 
@@ -35,7 +36,10 @@ DEFAULT_DEDUP_DISTANCE = 10
 def document_fingerprints(docs: DataFrame, *, features: str = "shingle", shingle_n: int = 3,
                           word_pattern: str = DEFAULT_WORD_PATTERN,
                           method: str = "arrow") -> DataFrame:
-    """``(doc_id, n_features, hash)`` for every document."""
+    """``(doc_id, n_features, hash)`` for every document; ``features``: 'shingle', 'word' or 'weighted'
+    (words by their rarity in ``docs``, see plans/weighted)."""
+    if features == "weighted":
+        return weighted_fingerprints(docs.select("doc_id", "content"), word_pattern=word_pattern)
     fp = with_simhash(docs.select("doc_id", "content"), "content", features=features,
                       shingle_n=shingle_n, word_pattern=word_pattern,
                       n_features_col="n_features", method=method)

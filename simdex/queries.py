@@ -501,6 +501,27 @@ def q_dedup(spark, sf):
     return dedup_documents(_docs(spark, sf), K)
 
 
+WEIGHTED_K = 3
+
+
+@register("weighted_fingerprints", O.weighted_simhash(D))
+def q_weighted(spark, sf):
+    """Every document's fingerprint of words weighted by their rarity."""
+    return document_fingerprints(_docs(spark, sf), features="weighted")
+
+
+@register("near_duplicates_weighted",
+          f"WITH f AS MATERIALIZED (SELECT * FROM ({O.weighted_simhash(D)}) x WHERE n_features > 0), "
+          f"g AS (SELECT hash, min(doc_id) AS rep FROM f GROUP BY hash) "
+          f"SELECT g.rep AS doc_a, f.doc_id AS doc_b, f.hash AS hash_a, f.hash AS hash_b, 0 AS distance, 'exact' AS kind "
+          f"FROM f JOIN g ON f.hash = g.hash WHERE f.doc_id <> g.rep UNION ALL "
+          f"SELECT a.rep, b.rep, a.hash, b.hash, CAST(bit_count(xor(a.hash, b.hash)) AS INTEGER), 'near' "
+          f"FROM g a JOIN g b ON a.rep < b.rep AND bit_count(xor(a.hash, b.hash)) <= {WEIGHTED_K}")
+def q_near_weighted(spark, sf):
+    """U1 with words weighted by their rarity."""
+    return near_duplicate_pairs(_docs(spark, sf), WEIGHTED_K, features="weighted", with_jaccard=False)
+
+
 def _plag_sql():
     bench = O.documents("benchmark", "item_id")
     ref = O.index(bench, PLAGIARISM_CHUNK)
