@@ -630,7 +630,8 @@ def q_top_buckets(spark, sf):
 def q_incremental(spark, sf):
     from .streaming.incremental import document_stream, incremental_index
     schema = read_table(spark, sf, "documents").schema
-    stream = document_stream(spark, sf, schema, glob="documents.parquet")
+    # the table is one file or a folder of part files: a pattern names either (a plain path must be a folder)
+    stream = document_stream(spark, f"{sf.rstrip('/')}/documents.parque[t]", schema)
     out, ckpt = work_path(spark, "stream-index"), work_path(spark, "stream-ckpt")
     q = incremental_index(stream, CHUNK, out, ckpt)
     q.awaitTermination()

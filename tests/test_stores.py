@@ -152,3 +152,19 @@ def test_time_does_not_follow_the_number_of_lengths():
             best = min(best, time.perf_counter() - t)
         took.append(best)
     assert took[1] < 20 * took[0]                  # a hundred times the lengths
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_stream_of_a_table(spark, tmp_dir, folder):
+    """The streamed table is one file or a folder of part files."""
+    import shutil
+
+    from simdex import queries
+    rows = spark.createDataFrame([(i, f"text number {i} " * 60) for i in range(9)] + [(9, None)], "doc_id bigint, text string")
+    rows.coalesce(1 if not folder else 3).write.parquet(f"{tmp_dir}/{'documents.parquet' if folder else 'part'}")
+    if not folder:
+        part = next(n for n in os.listdir(f"{tmp_dir}/part") if n.endswith(".parquet"))
+        shutil.copy(f"{tmp_dir}/part/{part}", f"{tmp_dir}/documents.parquet")
+    got = queries.QUERIES["incremental_index"](spark, tmp_dir)
+    want = queries.QUERIES["simhash_chunks"](spark, tmp_dir).select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() >= 18
