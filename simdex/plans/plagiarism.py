@@ -29,7 +29,7 @@ def plagiarism_matches(references: DataFrame, submissions: DataFrame, *,
     ``(doc_id, ref_id, matched_chunks, n_chunks, share, mean_distance, min_distance)``."""
     ref, sub, kept = _chunk_matches(references, submissions, chunk_size, stride, k, features, method, strategy)
     ref_hashes = ref.select(F.col("doc_id").alias("ref_id"), "hash").distinct()
-    sub_hashes = materialize(sub.groupBy("doc_id", F.col("hash").alias("qhash"))
+    sub_hashes = materialize(sub.groupBy("doc_id", "qhash")
                              .agg(F.count("*").cast("bigint").alias("n")))
     # submission hash -> reference document, with how many chunk pairs and how far
     hits = materialize(ref_hashes.join(kept, "hash").groupBy("qhash", "ref_id")
@@ -50,8 +50,9 @@ def plagiarism_matches(references: DataFrame, submissions: DataFrame, *,
 
 
 def _chunk_matches(references, submissions, chunk_size, stride, k, features, method, strategy):
-    """Stored chunks with words of both sides, and ``kept(qhash, hash, distance)``: what a submission's
-    hash matches, exact first over the whole reference collection."""
+    """The chunks of the references (stored, with words), those of the submissions that match one (their hash as
+    ``qhash``), and ``kept(qhash, hash, distance)``: what a submission's hash matches, exact first over the whole
+    reference collection."""
     # wordless chunks all share hash -1 and say nothing: they match nothing
     cols = ("doc_id", "offset", "size", "hash")
     ref = materialize(build_index(references, chunk_size, features=features, method=method)
@@ -63,6 +64,9 @@ def _chunk_matches(references, submissions, chunk_size, stride, k, features, met
     best = materialize(pairs.groupBy("qhash").agg(F.min("distance").alias("__best")))
     kept = join_small(pairs, best, "qhash") \
         .where((F.col("distance") == 0) | (F.col("__best") > 0)).select("qhash", "hash", "distance")
+    # chunks that match nothing aren't moved
+    matched = materialize(best.select("qhash"))
+    sub = join_small(sub.withColumnRenamed("hash", "qhash"), matched, "qhash", "left_semi")
     return ref, sub, materialize(kept)
 
 
@@ -82,7 +86,7 @@ def plagiarism_passages(references: DataFrame, submissions: DataFrame, *,
     ref, sub, kept = _chunk_matches(references, submissions, chunk_size, stride, k, features, method, strategy)
     to_ref = join_small(ref.select(F.col("doc_id").alias("ref_id"), F.col("offset").alias("ref_offset"),
                                    F.col("size").alias("ref_size"), "hash"), kept, "hash")
-    hits = materialize(join_small(sub.withColumnRenamed("hash", "qhash"), materialize(to_ref), "qhash")
+    hits = materialize(join_small(sub, materialize(to_ref), "qhash")
                        .withColumn("diagonal", F.col("offset") - F.col("ref_offset")))
     line = Window.partitionBy("doc_id", "ref_id", "diagonal").orderBy("offset")
     before = F.max(F.col("offset") + F.col("size")).over(line.rowsBetween(Window.unboundedPreceding, -1))

@@ -144,3 +144,19 @@ def test_chunk_votes_equal_the_chunks_own_hashes(spark):
     docs = docs_df(spark, {1: text})
     want = {(n, r.chunk_idx): r.hash for n in lengths.tolist() for r in build_index(docs, n).collect()}
     assert got == want
+
+
+def test_content_is_not_carried_per_chunk(spark):
+    """Where the number of words is only filtered on, what the vote is made from still isn't kept at every chunk."""
+    from simdex.operators.index import build_index
+    from tests.conftest import docs_df
+    text = "one two three four five six " * 20
+    idx = build_index(docs_df(spark, {1: text, 2: "", 3: "?" * 90}), 64, stride=16)
+    few = idx.where("n_words > 0").select("doc_id", "offset", "hash")
+    plan = few._jdf.queryExecution().optimizedPlan()
+    while "ArrowEvalPython" not in plan.nodeName():
+        plan = plan.children().head()
+    below = plan.children().head().output()
+    names = {below.apply(i).name() for i in range(below.size())}
+    assert not names & {"content", "__content", "chunk"}
+    assert sorted(map(tuple, few.collect())) == sorted((r.doc_id, r.offset, r.hash) for r in idx.collect() if r.n_words)
