@@ -181,3 +181,45 @@ def test_exact_first_scopes_differ(spark):
     by_file = sorted((r.doc_id, r.match_type) for r in lookup(idx, q, 3, scope="file").collect())
     assert by_file == [(1, "exact"), (2, "fuzzy")]
     assert [(r.doc_id, r.match_type) for r in lookup(idx, q, 3, scope="corpus").collect()] == [(1, "exact")]
+
+
+@pytest.mark.parametrize("k", [0, 3, 10, 20])
+def test_near_pairs_in_a_cell(k):
+    """Even hashes, hashes that agree in many bits, a repeated hash; a part at a time."""
+    import numpy as np
+
+    from simdex.operators import hamming_join as hj
+    rng = np.random.default_rng(k)
+    b = rng.integers(-2 ** 63, 2 ** 63 - 1, 3_000)
+    b[:900] &= 0xFFF
+    a = b[rng.integers(0, 3_000, 800)].copy()
+    for _ in range(8):
+        a ^= np.where(rng.random(800) < .6, np.int64(1) << rng.integers(0, 63, 800), 0)
+    apart = np.bitwise_count(a.view(np.uint64)[:, None] ^ b.view(np.uint64)[None, :])
+    want = sorted((i, j, int(apart[i, j])) for i, j in zip(*map(np.ndarray.tolist, np.nonzero(apart <= k))))
+    assert want
+    for bands in ([], hj.layout(1, k) if k < 3 else hj.layout(3, k) if k < 12 else hj.layout(5, k), hj.layout(8, k)):
+        hj_bands, hj.cell_bands = hj.cell_bands, lambda *_, bands=bands: bands
+        most, hj.PAIRS_AT_A_TIME = hj.PAIRS_AT_A_TIME, 5_000
+        try:
+            for x, y, flip in ((a, b, False), (b, a, True)):
+                got = sorted((j, i, d) if flip else (i, j, d) for p in hj.near_pairs(x, y, k) for i, j, d in zip(*map(np.ndarray.tolist, p)))
+                assert got == want
+        finally:
+            hj.cell_bands, hj.PAIRS_AT_A_TIME = hj_bands, most
+
+
+def test_cells_shuffle_a_row_a_hash_and_block(spark, monkeypatch):
+    """Two blocks on one side, three on the other: all pairs once, and no row a probe is shuffled."""
+    from simdex.operators import hamming_join as hj
+    rnd = random.Random(2)
+    base = [rnd.getrandbits(64) - (1 << 63) for _ in range(500)]
+    near = [b ^ sum(1 << i for i in rnd.sample(range(63), rnd.randint(0, 13))) for b in base][:350]
+    monkeypatch.setattr(hj, "CELL_ROWS", 200)
+    L = spark.createDataFrame([(h, str(h)) for h in set(base)] + [(None, "x")], "hash bigint, name string")
+    R = spark.createDataFrame([(h, h % 7) for h in set(near)], "qhash bigint, seven bigint")
+    got = hamming_pairs(L, R, 10, strategy="banded")
+    want = sorted((a, str(a), b, b % 7, d) for a in set(base) for b in set(near) if (d := ((a ^ b) & (1 << 64) - 1).bit_count()) <= 10)
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 200
+    dealt = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_count" not in dealt and "__bval" not in dealt
