@@ -168,3 +168,18 @@ def test_stream_of_a_table(spark, tmp_dir, folder):
     got = queries.QUERIES["incremental_index"](spark, tmp_dir)
     want = queries.QUERIES["simhash_chunks"](spark, tmp_dir).select(*got.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() >= 18
+
+
+def test_hits_are_sent_on_as_they_come():
+    """Many hits of long texts: no batch holds more than the bound and a row, and no hit is lost."""
+    import pyarrow as pa
+
+    from simdex.functions.chunk_votes import chunk_hashes
+    from simdex.plans.search import _answers
+    text = b"one two three four five " * 400
+    n, docs = len(text), pa.RecordBatch.from_pydict({"doc_id": list(range(6)), "content": [text] * 6})
+    own = next(chunk_hashes(text, np.array([n]), WordBits()))[2]
+    ids, sizes, hashes = [f"q{i}" for i in range(30)], np.full(30, n), np.repeat(own, 30)
+    got = list(_answers(iter([docs]), ids, sizes, hashes, 3, "file", "string", 100_000))
+    assert max(b.nbytes for b in got) < 100_000 + 2 * n and sum(b.num_rows for b in got) == 180
+    assert all(set(b.column("match_type").to_pylist()) <= {"exact"} for b in got)
