@@ -183,3 +183,19 @@ def test_hits_are_sent_on_as_they_come():
     got = list(_answers(iter([docs]), ids, sizes, hashes, 3, "file", "string", 100_000))
     assert max(b.nbytes for b in got) < 100_000 + 2 * n and sum(b.num_rows for b in got) == 180
     assert all(set(b.column("match_type").to_pylist()) <= {"exact"} for b in got)
+
+
+def test_many_ranges_share_partitions(spark, tmp_dir, monkeypatch):
+    """Ranges beyond the bound are read together: the same rows from fewer tasks."""
+    for i in range(40):
+        with open(os.path.join(tmp_dir, f"f{i}.txt"), "wb") as f:
+            f.write(bytes([65 + i % 26]) * (50 + 7 * i))
+    options = {"path": tmp_dir, "chunk_size": "16", "range_bytes": "32"}
+    schema = file_source.read_chunks(spark, tmp_dir, 16).drop("doc_id").schema
+    reader = file_source.FileChunkReader(schema, options)
+
+    def rows():
+        return [tuple(r.values()) for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+    want, before = rows(), len(reader.partitions())
+    monkeypatch.setattr(file_source, "MAX_PARTITIONS", 9)
+    assert before > 200 and len(reader.partitions()) <= 9 and rows() == want
