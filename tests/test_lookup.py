@@ -223,3 +223,25 @@ def test_cells_shuffle_a_row_a_hash_and_block(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == want and len(want) > 200
     dealt = got._jdf.queryExecution().optimizedPlan().toString()
     assert "bit_count" not in dealt and "__bval" not in dealt
+
+
+def test_cell_pairs_without_spark():
+    """Cells that go on over batches, a cell of one side alone, text columns, a null in the order."""
+    import pyarrow as pa
+
+    from simdex.operators.hamming_join import cell_pairs
+    rnd = random.Random(6)
+    rows, want = [], []
+    for cell in (0, 2, 3, 7):
+        left = [(rnd.getrandbits(63), f"l{cell}-{i}", i if i % 9 else None) for i in range(60)]
+        right = [] if cell == 3 else [(h ^ (1 << rnd.randrange(63)), rnd.randrange(60)) for h, _, _ in left[:40]]
+        rows += [(cell, 0, h, name, i, None, None) for h, name, i in left] + [(cell, 1, None, None, None, q, j) for q, j in right]
+        want += [(h, name, i, q, j, (h ^ q).bit_count()) for h, name, i in left for q, j in right
+                 if (h ^ q).bit_count() <= 10 and i is not None and i < j]
+    names = ["__cell", "__side", "hash", "name", "i", "qhash", "j"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a:a + 37]), kinds)], names)
+               for a in range(0, len(rows), 37)]
+    got = [tuple(r.values()) for b in cell_pairs(iter(batches), names[2:5], names[5:], "hash", "qhash", 10, ("i", "j"))
+           for r in b.to_pylist()]
+    assert sorted(got) == sorted(want) and len(want) > 20
