@@ -31,6 +31,7 @@ from ..operators.sizing import materialize, n_rows
 
 QUERY_BLOCK = 50_000
 _PAIRS = 1 << 18          # hash pairs compared at a time
+FEW_QUERIES = 16          # of a length, up to which chunks are judged before their cut words are hashed
 OUT_BYTES, ROW_BYTES = 4 << 20, 400   # of hits that a task holds; what a row takes besides its text
 
 
@@ -55,8 +56,17 @@ def _hits(content: bytes, lengths: np.ndarray, first: np.ndarray, sizes: np.ndar
     """``(query numbers, lengths, chunk numbers, hashes, distances)`` of one document, in parts.
 
     Queries are in the order of their sizes; those of ``lengths[i]`` start at ``first[i]``."""
+    def maybe(number: np.ndarray, ones: np.ndarray, zeros: np.ndarray) -> np.ndarray:
+        """Whether any query of a chunk's length may lie within k of it."""
+        keep = np.zeros(len(number), bool)
+        asked = first[number + 1] - first[number]
+        for t in range(int(asked.max(initial=0))):
+            q = hashes[np.minimum(first[number] + t, len(hashes) - 1)].view(np.uint64)
+            keep |= (t < asked) & (np.bitwise_count((q & zeros) | (~q & ones)) <= k)
+        return keep
+    few = len(lengths) and np.diff(first).max() <= FEW_QUERIES
     out = []
-    for number, chunk, h in chunk_hashes(content, lengths, bits):
+    for number, chunk, h in chunk_hashes(content, lengths, bits, maybe if few else None):
         # a chunk meets the queries of its length; the whole text those of all lengths from its own on
         upto = np.where(lengths[number] >= len(content), len(sizes), first[number + 1])
         total = np.cumsum(upto - first[number])

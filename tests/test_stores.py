@@ -199,3 +199,34 @@ def test_many_ranges_share_partitions(spark, tmp_dir, monkeypatch):
     want, before = rows(), len(reader.partitions())
     monkeypatch.setattr(file_source, "MAX_PARTITIONS", 9)
     assert before > 200 and len(reader.partitions()) <= 9 and rows() == want
+
+
+@pytest.mark.parametrize("k", [0, 3, 10, 64])
+def test_judged_chunks_lose_no_hit(k, monkeypatch):
+    """Chunks left out before their cut words are hashed are none within k: cut and long words, none, short lengths."""
+    from simdex.functions import chunk_votes
+    from simdex.plans import search
+    rng = random.Random(k)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.choice([1, 3, 6, 9, 70]))) for _ in range(60)]
+    texts = [" ".join(rng.choice(words) for _ in range(300)).encode() for _ in range(6)] + [b"?! " * 90, b"x" * 500, b"a"]
+    asked = []
+    for _ in range(60):
+        t, n = rng.choice(texts), rng.choice([1, 5, 16, 40, 64, 90, 200, 333, 900])
+        at = rng.randrange(max(1, len(t) - n))
+        asked.append(t[at // n * n:at // n * n + n])
+    sizes = np.array(sorted(map(len, asked)))
+    asked.sort(key=len)
+    hashes = np.concatenate([next(chunk_votes.chunk_hashes(a, np.array([len(a)]), WordBits()))[2] for a in asked])
+    lengths, first = np.unique(sizes, return_index=True)
+    monkeypatch.setattr(chunk_votes, "SLICE_BYTES", 400)
+    got = []
+    for few in (100, 0):
+        monkeypatch.setattr(search, "FEW_QUERIES", few)
+        got.append([sorted(h for part in _hits(t, lengths, np.append(first, len(sizes)), sizes, hashes, k, WordBits())
+                           for h in zip(*(c.tolist() for c in part))) for t in texts])
+    assert got[0] == got[1] and sum(map(len, got[0])) >= 60
+    # each hit's fingerprint is that of its bytes alone
+    for t, hits in zip(texts, got[0]):
+        for _, n, c, h, d in hits[:40]:
+            piece = t[c * n:(c + 1) * n]
+            assert next(chunk_votes.chunk_hashes(piece, np.array([len(piece)]), WordBits()))[2][0] == h
