@@ -7,6 +7,8 @@ from collections import Counter
 
 import pytest
 
+from simdex.functions.simhash import DEFAULT_WORD_PATTERN
+from simdex.plans import weighted
 from simdex.plans.dedup import dedup_documents, document_fingerprints
 from simdex.plans.weighted import weighted_fingerprints
 
@@ -53,3 +55,28 @@ def test_groups_by_weighted_words(spark):
     assert document_fingerprints(docs, features="weighted").count() == 3
     got = {r.doc_id: r.group_id for r in dedup_documents(docs, 0, features="weighted").collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+@pytest.mark.parametrize("pattern", [DEFAULT_WORD_PATTERN, "[a-z0-9_é]+"])
+def test_blocks(spark, monkeypatch, pattern):
+    """Documents cut into blocks of few words get the fingerprints of the whole; rows of one id are one document."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(weighted, "BLOCK_TERMS", 3)
+    docs = docs_df(spark, {**TEXTS, 10: None}).coalesce(1)
+    whole = weighted_fingerprints(docs, word_pattern=pattern).collect()
+    monkeypatch.setattr(weighted, "BLOCK_TERMS", 1 << 20)
+    assert sorted(whole) == sorted(weighted_fingerprints(docs, word_pattern=pattern).collect())
+    rows = docs.unionByName(docs_df(spark, {1: "kiosk and bell"})) \
+        .unionByName(docs_df(spark, {99: "the kiosk"}).withColumn("doc_id", F.lit(None).cast("bigint")))
+    texts = {**TEXTS, 1: TEXTS[1] + " kiosk and bell", 10: None, 99: "the kiosk", 100: ""}
+    if pattern == DEFAULT_WORD_PATTERN:   # 12 rows
+        want = {r[0]: r for r in brute(texts)}
+        got = sorted(map(tuple, weighted_fingerprints(rows).collect()), key=str)
+        assert got == sorted([*(r for i, r in want.items() if i < 99), want[1], (None, 0, -1)], key=str)
+
+
+def test_no_row_a_word(spark):
+    """Between its stages the plan has documents in blocks, not a row for each word of each document."""
+    docs = docs_df(spark, {i: " ".join(f"w{j}" for j in range(50)) for i in range(40)}).coalesce(1)
+    blocks = weighted.term_blocks(weighted.term_lists(docs)).collect()
+    assert len(blocks) == 1 and len(blocks[0].words) == 50 and len(blocks[0].which) == 2000
