@@ -192,6 +192,44 @@ def test_extract(spark, shard, monkeypatch):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [4096, 3])
+def test_sharded_runs(spark, hot, monkeypatch):
+    """A host sorted in shards of its anchors has the runs of one sorted whole; the suffix array finds them in both."""
+    rng = random.Random(4)
+    menu = [rng.getrandbits(62) | 1 for _ in range(12)]
+    rows = []
+    for host in ("a.org", None, "b.org"):
+        for i in range(14):
+            own = [rng.choice(menu[:4]) for _ in range(rng.randint(0, 40))]
+            rows.append((host, i, own[:9] + menu[rng.randint(0, 5):] + own[9:]))
+    rows.append(("b.org", 99, menu[:3]))
+    streams = spark.createDataFrame(rows, "host string, stream bigint, tokens array<bigint>")
+    found = lambda: sorted(map(tuple, html_text.host_runs(streams).collect()), key=str)
+    whole = found()
+    assert len(whole) >= 42
+    monkeypatch.setattr(html_text, "SHARD_PAGES", 2)
+    monkeypatch.setattr(html_text, "SHARD_SEGMENTS", hot)
+    monkeypatch.setattr(html_text, "SORT_TOKENS", 200)
+    assert found() == whole
+    monkeypatch.setattr(html_text, "repeated_runs", lambda streams, *_: [np.zeros(0, np.int64) for _ in streams])
+    assert found() == []
+
+
+def test_segments():
+    """Each window is in one segment, and equal windows have equal anchors."""
+    rng = random.Random(2)
+    for length in html_text.ANCHORS:
+        anchor_of = {}
+        for n in (0, 5, 6, 7, 60, 300):
+            t = np.array([rng.randint(1, 3) for _ in range(n)], np.int64)
+            seen = []
+            for a, start, end in zip(*html_text.segments(t, 6, length)):
+                seen += range(start, end - 5)
+                for j in range(start, end - 5):
+                    assert anchor_of.setdefault(tuple(t[j:j + 6]), a) == a
+            assert seen == list(range(max(0, n - 5)))
+
+
 # -- 4: Jaccard join ---------------------------------------------------------
 
 
