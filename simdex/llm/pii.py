@@ -4,12 +4,14 @@ Method: candidate gradient boosting.  High-recall generators propose overlapping
 spans of the kinds email, ip, card and phone (also disguised ones: ``at`` and
 ``dot`` spelt out, other separators, no leading plus); boosted trees score each
 span from its format and the text around it; a threshold per kind, calibrated on
-rows the trees didn't see, selects what is added.  Spans of the base definitions
+all texts the trees didn't see (a quarter, by hash), selects what is added.  Spans of the base definitions
 are always kept; a selected span is added if it overlaps none of them, better
 scores first.
 
-The trees are fitted on the driver from a bounded sample: the candidates of
-``SAMPLE_ROWS`` whole texts (the smallest hashes).  A candidate that is a base span
+The trees are fitted to the candidates of all texts.  Tasks find them; edges of bins are
+quantiles of all of them; equal binned candidates are counted together.  A level of a tree needs the
+sums of its nodes' bins only: these are added up by Spark, or, while the different binned candidates are at most
+``LOCAL_VECTORS``, from their counts on the driver, which gives the same sums.  A candidate that is a base span
 is an example; so is each base span in a disguise (the listed rewritings), put into
 its own surroundings; the other candidates are counter-examples.
 
@@ -21,7 +23,7 @@ email ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+``; ip
 
 Defined results: a null text is empty and has no spans; ties go by start, then
 kind as listed; rows repeat as they come; other columns are not looked at; an
-empty table gives no rows, and where the sample has no example nothing is added.
+empty table gives no rows, and where the texts have no example nothing is added.
 """
 
 from __future__ import annotations
@@ -35,10 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sample_texts, small_batches
+from ..operators.sizing import stored
+from .common import small_batches
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_ROWS = 3000        # texts whose candidates the trees learn from, at most
+LOCAL_VECTORS = 50_000    # different binned candidates that are added up on the driver, at most
+FOLDS = 4                 # of texts by their hash; the last is what the trees don't see
+GRID = 100_000            # steps of a score that thresholds are told apart by
 PRECISION = 0.98          # least precision on unseen candidates that a threshold must reach
 LEAST_SCORE = 0.9         # no threshold is lower
 CONTEXT = 24              # characters before and after a span that the trees see
@@ -180,49 +185,75 @@ class Boosted:
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Boosted:
         self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins)[1:-1])) for c in x.T]
-        z, n_bins = self._binned(x), self.bins
-        mean = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+        self.begin(y.mean())
+        return self.grow(Sums(self._binned(x), y, np.ones(len(y))))
+
+    def begin(self, mean: float) -> None:
+        mean = np.clip(mean, 1e-3, 1 - 1e-3)
         self.start = float(np.log(mean / (1 - mean)))
-        score = np.full(len(y), self.start)
+
+    def grow(self, sums) -> Boosted:
+        """Add the trees; ``sums(self, tree)`` gives for each node and bin of a feature the candidates' sums of
+        gradients and of second derivatives, and how many they are."""
+        size = 2 ** (self.depth + 1)
         for _ in range(self.rounds):
-            p = 1 / (1 + np.exp(-score))
-            g, h = y - p, p * (1 - p)
-            size = 2 ** (self.depth + 1)
-            feature, cut, value = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)
-            node = np.ones(len(y), np.int64)  # node n has the children 2n and 2n + 1
-            for at in range(1, size):
-                mine = np.nonzero(node == at)[0]
-                if not len(mine):
-                    continue
-                gs, hs = g[mine].sum(), h[mine].sum()
-                value[at] = self.rate * gs / (hs + self.l2)
-                if at >= size // 2 or len(mine) < 20:
-                    continue
-                best = 1e-6
-                for j in range(x.shape[1]):
-                    gl = np.cumsum(np.bincount(z[mine, j], g[mine], n_bins))[:-1]
-                    hl = np.cumsum(np.bincount(z[mine, j], h[mine], n_bins))[:-1]
-                    gain = (gl ** 2 / (hl + self.l2) + (gs - gl) ** 2 / (hs - hl + self.l2)
-                            - gs ** 2 / (hs + self.l2))
-                    k = int(gain.argmax())
-                    if gain[k] > best:
-                        best, feature[at], cut[at] = gain[k], j, k
-                if feature[at] >= 0:
-                    node[mine] = 2 * at + (z[mine, feature[at]] > cut[at])
-            score += value[node]
-            self.trees.append((feature, cut, value))
+            feature, cut, value = tree = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)
+            for level in range(self.depth):
+                if level and not (feature[2 ** (level - 1):2 ** level] >= 0).any():
+                    break
+                grads, curves, counts = sums(self, tree)
+                for at in range(2 ** level, 2 ** (level + 1)):  # node n has the children 2n and 2n + 1
+                    n = counts[at, 0].sum()
+                    if not n:
+                        continue
+                    gs, hs = grads[at, 0].sum(), curves[at, 0].sum()
+                    value[at] = self.rate * gs / (hs + self.l2)
+                    if n < 20:
+                        continue
+                    gl, hl = grads[at].cumsum(axis=1)[:, :-1], curves[at].cumsum(axis=1)[:, :-1]
+                    gain = (gl ** 2 / (hl + self.l2) + (gs - gl) ** 2 / (hs - hl + self.l2) - gs ** 2 / (hs + self.l2))
+                    j, k = np.unravel_index(int(gain.argmax()), gain.shape)
+                    if gain[j, k] > 1e-6:
+                        feature[at], cut[at] = j, k
+                        value[2 * at] = self.rate * gl[j, k] / (hl[j, k] + self.l2)
+                        value[2 * at + 1] = self.rate * (gs - gl[j, k]) / (hs - hl[j, k] + self.l2)
+            self.trees.append(tree)
         return self
 
+    def node(self, z: np.ndarray, tree: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+        """The node of a tree that each binned candidate comes to."""
+        (feature, cut, _), node = tree, np.ones(len(z), np.int64)
+        for _ in range(self.depth):
+            f = feature[node]
+            node = np.where(f >= 0, 2 * node + (z[np.arange(len(z)), f] > cut[node]), node)
+        return node
+
+    def score(self, z: np.ndarray, score: np.ndarray | None = None, done: int = 0) -> np.ndarray:
+        """The sums of the trees from ``done`` on, added to the ``score`` of those before."""
+        score = np.full(len(z), self.start) if score is None else score
+        for tree in self.trees[done:]:
+            score = score + tree[2][self.node(z, tree)]
+        return score
+
     def predict(self, x: np.ndarray) -> np.ndarray:
-        z = self._binned(x)
-        score = np.full(len(x), self.start)
-        for feature, cut, value in self.trees:
-            node = np.ones(len(x), np.int64)
-            for _ in range(self.depth):
-                f = feature[node]
-                node = np.where(f >= 0, 2 * node + (z[np.arange(len(x)), f] > cut[node]), node)
-            score += value[node]
-        return 1 / (1 + np.exp(-score))
+        return 1 / (1 + np.exp(-self.score(self._binned(x))))
+
+
+class Sums:
+    """The sums of ``Boosted.grow`` over binned candidates ``z`` with labels ``y``, each ``n`` times."""
+
+    def __init__(self, z: np.ndarray, y: np.ndarray, n: np.ndarray):
+        self.z, self.y, self.n, self.score, self.done = z, y, n, None, 0
+
+    def __call__(self, model: Boosted, tree) -> np.ndarray:
+        self.score = model.score(self.z, self.score, self.done)
+        self.done = len(model.trees)
+        p = 1 / (1 + np.exp(-self.score))
+        size, bins = 2 ** (model.depth + 1), model.bins
+        node = model.node(self.z, tree) * bins
+        weights = (self.y - p) * self.n, p * (1 - p) * self.n, self.n
+        return np.array([[np.bincount(node + c, w, size * bins).reshape(size, bins) for c in self.z.T]
+                         for w in weights]).transpose(0, 2, 1, 3)
 
 
 class Model:
@@ -278,8 +309,98 @@ def train(texts: list[str]) -> Model | None:
     return Model(trees, thresholds)
 
 
+def _matrix(column: pa.Array, width: int, dtype) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(dtype).reshape(len(column), width)
+
+
+def candidate_rows(docs: DataFrame, text: str) -> DataFrame:
+    """``(unseen, y, x)``: the ``examples`` of every text, their labels and features."""
+    t = docs.where(F.col(text).isNotNull()).select(F.col(text).cast("string").alias("text")) \
+        .select("text", (F.pmod(F.xxhash64("text"), F.lit(FOLDS)) == FOLDS - 1).alias("unseen"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, row = examples(batch.column(0).to_pylist())
+            upto = pa.array(np.arange(len(y) + 1, dtype=np.int32) * (x.shape[1] if len(y) else 0))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1).take(pa.array(row)), pa.array(y.astype(bool)),
+                 pa.ListArray.from_arrays(upto, pa.array(x.reshape(-1)))], ["unseen", "y", "x"])
+    return small_batches(t).mapInArrow(run, "unseen boolean, y boolean, x array<double>")
+
+
 def fit(docs: DataFrame, *, text: str = "text") -> Model | None:
-    return train(sample_texts(docs, text, SAMPLE_ROWS))
+    """Trees from the candidates of three quarters of all texts, thresholds from those of the others."""
+    rows = stored(candidate_rows(docs, text), "candidates")
+    seen = rows.where(~F.col("unseen"))
+    total, good = seen.agg(F.count("*"), F.coalesce(F.sum(F.col("y").cast("bigint")), F.lit(0))).first()
+    if not 0 < good < total:
+        return None
+    width = len(features("", (0, 0, 0)))
+    trees = Boosted()
+    steps = [float(q) for q in np.linspace(0, 1, trees.bins)[1:-1]]
+    edges = seen.agg(*[F.percentile_approx(F.col("x")[j], steps, 10_000).alias(f"c{j}") for j in range(width)]).first()
+    trees.edges = [np.unique(e) for e in edges]
+    trees.begin(good / total)
+
+    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column(2), width, float)
+            z = np.ascontiguousarray(trees._binned(x).astype(np.uint8)) if len(x) else np.zeros((0, width), np.uint8)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x[:, 0].astype(np.int32)),
+                                              pa.array([r.tobytes() for r in z], pa.binary())], ["unseen", "y", "kind", "z"])
+    vectors = stored(rows.mapInArrow(bins, "unseen boolean, y boolean, kind int, z binary")
+                     .groupBy("unseen", "y", "kind", "z").agg(F.count("*").alias("n")), "vectors")
+    seen = vectors.where(~F.col("unseen")).select("y", "z", "n")
+    if seen.count() <= LOCAL_VECTORS:
+        got = seen.orderBy("z", "y").collect()
+        trees.grow(Sums(_unpacked([r["z"] for r in got], width), np.array([r["y"] for r in got], float),
+                        np.array([r["n"] for r in got], float)))
+    else:
+        trees.grow(lambda model, tree: spark_sums(seen, model, tree, width))
+    return Model(trees, thresholds(vectors.where("unseen"), trees, width))
+
+
+def _unpacked(z: list[bytes], width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(z), np.uint8).reshape(len(z), width).astype(np.int64)
+
+
+def spark_sums(vectors: DataFrame, model: Boosted, tree, width: int) -> np.ndarray:
+    """``Sums`` over ``vectors(y, z, n)``: tasks add up theirs, Spark the tasks'; a level's bins come to the driver."""
+    shape = (3, 2 ** (model.depth + 1), width, model.bins)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape)
+        for batch in batches:
+            y, n = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in (0, 2))
+            total += Sums(_unpacked(batch.column(1).to_pylist(), width), y, n)(model, tree)
+        total = total.reshape(3, -1)
+        has = np.nonzero(total[2])[0]
+        yield pa.RecordBatch.from_arrays([pa.array(has), *(pa.array(t[has]) for t in total)], ["cell", "g", "h", "n"])
+    out = np.zeros((3, int(np.prod(shape[1:]))))
+    for r in vectors.mapInArrow(run, "cell bigint, g double, h double, n double").groupBy("cell") \
+            .agg(F.sum("g"), F.sum("h"), F.sum("n")).collect():
+        out[:, r[0]] = r[1:]
+    return out.reshape(shape)
+
+
+def thresholds(vectors: DataFrame, trees: Boosted, width: int) -> list[float]:
+    """The least score of each kind at which ``vectors(y, kind, z, n)`` from it on are right often enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = 1 / (1 + np.exp(-trees.score(_unpacked(batch.column(2).to_pylist(), width))))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (0, 1, 3)), pa.array((p * GRID).astype(np.int64))],
+                                             ["y", "kind", "n", "cell"])
+    cells = vectors.select("y", "kind", "z", "n").mapInArrow(run, "y boolean, kind int, n bigint, cell bigint") \
+        .where(F.col("cell") >= LEAST_SCORE * GRID).groupBy("kind", "cell") \
+        .agg(F.sum("n").alias("n"), F.sum(F.when(F.col("y"), F.col("n")).otherwise(0)).alias("good")).collect()
+    out = []
+    for kind in range(len(KINDS)):
+        mine = sorted(((r["cell"], r["n"], r["good"]) for r in cells if r["kind"] == kind), reverse=True)
+        cell, n, good = np.array(mine, float).reshape(-1, 3).T
+        ok = np.nonzero(np.cumsum(good) >= PRECISION * np.cumsum(n))[0]
+        # nothing is added of a kind that has no example
+        out.append(float(cell[ok[-1]] / GRID) if len(ok) else 2.0)
+    return out
 
 
 # -- all spans ---------------------------------------------------------------

@@ -415,6 +415,26 @@ def test_pii(spark, odd_docs, no_docs):
     assert pii.find(no_docs, pii.fit(no_docs)).count() == 0
 
 
+def test_pii_learns_from_all(spark, monkeypatch):
+    """Every text's candidates train the trees, in Spark's sums as in the driver's."""
+    rng = random.Random(8)
+    texts = [f"write to {rng.choice('abcxyz')}{rng.randint(1, 99)}@mail.{rng.choice(['com', 'org'])} or call +1 (212) 555-"
+             f"{rng.randint(1000, 9999)} about number {rng.randint(10**15, 10**16)} at noon. Then came {i} of them" for i in range(3500)]
+    docs = spark.createDataFrame([(t,) for t in texts] + [(None,)], "text string").repartition(4)
+    x, y, _ = pii.examples(texts)
+    assert pii.candidate_rows(docs, "text").count() == len(y) > 3000
+    class Short(pii.Boosted):
+        def __init__(self):
+            super().__init__(rounds=4)
+    monkeypatch.setattr(pii, "Boosted", Short)
+    local = pii.fit(docs)
+    monkeypatch.setattr(pii, "LOCAL_VECTORS", 0)
+    spread = pii.fit(docs)
+    assert len(local.trees.trees) == len(spread.trees.trees) == 4
+    np.testing.assert_allclose(local.trees.predict(x), spread.trees.predict(x), atol=1e-9)
+    np.testing.assert_allclose(local.thresholds, spread.thresholds, atol=2 / pii.GRID)
+
+
 def test_long_digits():
     for t in ("1" * 1_000_000, "1." * 300_000, "12.3.4." * 100_000 + "9" * 300_000):
         start = time.time()
