@@ -192,6 +192,22 @@ def test_extract(spark, shard, monkeypatch):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shard", [5000, 1])
+def test_pages_with_equal_chrome(spark, shard, monkeypatch):
+    """Article pages with the same chrome are as many pages as they have urls; copies of a page without an article are one."""
+    monkeypatch.setattr(html_text, "SHARD_PAGES", shard)
+    menu = "Home News Sport Weather Travel Shop Contact"
+    article = f"<nav>{menu}</nav><article><p>Story</article>"
+    plain = f"<div>{menu}</div><p>A single story of this page alone stands here</p>"
+    rows = [(i, f"http://{h}/{i if h != 'one.org' else 0}", article, ["Story"]) for h in ("a.org", "one.org") for i in range(3)]
+    rows += [(9, "http://a.org/9", plain, ["A single story of this page alone stands here"])]
+    rows += [(9, "http://one.org/9", plain, [menu, "A single story of this page alone stands here"])]
+    rows += [(i, f"http://copies.org/{i}", plain, [menu, "A single story of this page alone stands here"]) for i in range(5)]
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id bigint, url string, html string")
+    got = sorted((r.page_id, r.url, r.text) for r in html_text.extract(df).collect())
+    assert got == sorted((i, u, "\n".join(t)) for i, u, _, t in rows)
+
+
 @pytest.mark.parametrize("hot", [4096, 3])
 def test_sharded_runs(spark, hot, monkeypatch):
     """A host sorted in shards of its anchors has the runs of one sorted whole; the suffix array finds them in both."""
