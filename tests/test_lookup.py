@@ -245,3 +245,36 @@ def test_cell_pairs_without_spark():
     got = [tuple(r.values()) for b in cell_pairs(iter(batches), names[2:5], names[5:], "hash", "qhash", 10, ("i", "j"))
            for r in b.to_pylist()]
     assert sorted(got) == sorted(want) and len(want) > 20
+
+
+@pytest.mark.parametrize("rows", [8192, 7])
+def test_file_scope_of_many_queries(spark, rows, monkeypatch):
+    """Cells of whole documents give what a loop over all pairs gives, and write no hits."""
+    from simdex.operators import hamming_join, sizing
+    monkeypatch.setattr(hamming_join, "DOCUMENT_ROWS", rows, raising=False)
+    monkeypatch.setattr(hamming_join, "CELL_ROWS", 1 << 17 if rows > 100 else 50)
+    monkeypatch.setattr(hamming_join, "HITS_AT_A_TIME", 1 << 16 if rows > 100 else 3, raising=False)
+    written, stored = [], sizing.stored
+    monkeypatch.setattr(sizing, "stored", lambda df, *a: written.append(stored(df, *a)) or written[-1])
+    rng = random.Random(5)
+    centres = [rng.getrandbits(64) - (1 << 63) for _ in range(6)] + [-1]
+
+    def near(flips):
+        h = rng.choice(centres) & (1 << 64) - 1
+        for _ in range(rng.randint(0, flips)):
+            h ^= 1 << rng.randrange(64)
+        return h - (1 << 64) if h >> 63 else h
+    chunks = [(rng.choice([None, *range(12)]), i, i * 10, 10, near(9)) for i in range(150)]
+    asked = [(f"q{rng.randint(0, 60)}" if rng.random() < .95 else None, near(5)) for _ in range(100)] + [("q1", 0), ("q2", None)]
+    asked += asked[:5]
+    pairs = [(q, c, (h ^ c[4]).bit_count() if (h < 0) == (c[4] < 0) else ((h ^ c[4]) & (1 << 64) - 1).bit_count())
+             for q, h in asked if h for c in chunks]
+    exact = {(q, c[0]) for q, c, d in pairs if d == 0}
+    want = [(q, *c, d, "fuzzy" if d else "exact") for q, c, d in pairs
+            if d == 0 or d <= 10 and (q, c[0]) not in exact and q is not None and c[0] is not None]
+    idx = spark.createDataFrame(chunks, SCHEMA)
+    got = lookup(idx, spark.createDataFrame(asked, "query_id string, qhash bigint"), 10)
+    assert got.columns == list(lookup(idx, queries(spark, [1]), 10).columns)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert len({w[-1] for w in want}) == 2 and len(want) > 500
+    assert max(t.count() for t in written) <= max(len(chunks), len(asked))
