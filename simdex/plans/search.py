@@ -3,8 +3,8 @@ fingerprint, and look up the query's SimHash exact-first.
 
 One pass over the corpus: a task tokenises and hashes each document once, takes the
 votes of the chunks of all query lengths from running sums
-(``functions.chunk_votes``), compares them with the queries of their length, and
-sends on hits only, with their bytes.  Lengths from a document's own size on share its one
+(``functions.chunk_votes``), compares them with the queries of their length (one by one, or by the
+bands of ``hamming_join`` where these are many), and sends on hits only, with their bytes.  Lengths from a document's own size on share its one
 chunk, so many distinct lengths cost no more than their chunks.  Nothing that doesn't match is written or
 shuffled.  Queries go to the tasks in blocks of ``QUERY_BLOCK`` rows (a broadcast of
 bounded size); more queries take more passes.
@@ -26,13 +26,16 @@ from pyspark.sql import functions as F
 from ..functions.chunk_votes import WordBits, chunk_hashes
 from ..functions.simhash import with_simhash
 from ..functions.validate import DEFAULT_MAX_DISTANCE
+from ..operators.hamming_join import BandTables, cell_bands
 from ..operators.lookup import valid_queries
 from ..operators.sizing import materialize, n_rows
 
-QUERY_BLOCK = 50_000
+QUERY_BLOCK = 400_000     # of some 30 bytes; each block is a pass over the corpus
 _PAIRS = 1 << 18          # hash pairs compared at a time
 FEW_QUERIES = 16          # of a length, up to which chunks are judged before their cut words are hashed
+MANY_QUERIES = 1024       # of a length, from which on they are asked by bands, for several documents together
 OUT_BYTES, ROW_BYTES = 4 << 20, 400   # of hits that a task holds; what a row takes besides its text
+WAITING_BYTES = 4 << 20   # of documents whose chunks are asked for together, and of these
 
 
 def prepare_queries(queries: DataFrame, *, id_col: str = "query_id", text_col: str = "text",
@@ -52,10 +55,11 @@ def prepare_queries(queries: DataFrame, *, id_col: str = "query_id", text_col: s
 
 
 def _hits(content: bytes, lengths: np.ndarray, first: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, k: int,
-          bits: WordBits) -> list[tuple[np.ndarray, ...]]:
+          bits: WordBits, left: list[tuple[np.ndarray, ...]] | None = None) -> list[tuple[np.ndarray, ...]]:
     """``(query numbers, lengths, chunk numbers, hashes, distances)`` of one document, in parts.
 
-    Queries are in the order of their sizes; those of ``lengths[i]`` start at ``first[i]``."""
+    Queries are in the order of their sizes; those of ``lengths[i]`` start at ``first[i]``.  Given ``left``, chunks that meet
+    the queries of one length only, ``MANY_QUERIES`` or more, go there: ``(numbers of lengths, chunk numbers, hashes)``."""
     def maybe(number: np.ndarray, ones: np.ndarray, zeros: np.ndarray) -> np.ndarray:
         """Whether any query of a chunk's length may lie within k of it."""
         keep = np.zeros(len(number), bool)
@@ -69,6 +73,11 @@ def _hits(content: bytes, lengths: np.ndarray, first: np.ndarray, sizes: np.ndar
     for number, chunk, h in chunk_hashes(content, lengths, bits, maybe if few else None):
         # a chunk meets the queries of its length; the whole text those of all lengths from its own on
         upto = np.where(lengths[number] >= len(content), len(sizes), first[number + 1])
+        if left is not None:
+            many = (upto == first[number + 1]) & (upto - first[number] >= MANY_QUERIES)
+            if many.any():
+                left.append((number[many], chunk[many], h[many]))
+                number, chunk, h, upto = (v[~many] for v in (number, chunk, h, upto))
         total = np.cumsum(upto - first[number])
         done = 0
         while done < len(number):
@@ -95,13 +104,38 @@ def _kept(hits: list[tuple[np.ndarray, ...]], scope: str, n_queries: int) -> lis
     return [tuple(c[keep] for c in part) for part in hits if (keep := (part[4] == 0) | ~exact[part[0]]).any()]
 
 
+class ManyQueries:
+    """The queries of one length, to be asked by bands for the chunks of some documents together."""
+
+    def __init__(self, hashes: np.ndarray, k: int):
+        self.distinct, self.of = np.unique(hashes, return_inverse=True)
+        self.bands = BandTables(hashes, k, cell_bands(k, len(hashes), len(hashes)))
+
+    def hits(self, doc: np.ndarray, h: np.ndarray, scope: str) -> Iterator[tuple[np.ndarray, ...]]:
+        """``(places of chunks, places of queries, distances)`` for chunks of documents ``doc``, all of a document's, and
+        hashes ``h``; by the rule of ``_kept``, in parts."""
+        n = len(self.distinct)
+        at = np.minimum(np.searchsorted(self.distinct, h), n - 1)
+        exact = np.unique((doc * n + at)[self.distinct[at] == h])
+        exact = np.append(exact, np.iinfo(np.int64).max)
+        for i, j, d in self.bands.near(h):
+            if scope == "file":
+                code = doc[i] * n + self.of[j]
+                keep = np.nonzero((d == 0) | (exact[np.searchsorted(exact, code)] != code))[0]
+                i, j, d = i[keep], j[keep], d[keep]
+            yield i, j, d
+
+
 def _answers(batches: Iterator[pa.RecordBatch], ids: list, sizes: np.ndarray, hashes: np.ndarray, k: int, scope: str,
-             id_type: str, most: int = OUT_BYTES) -> Iterator[pa.RecordBatch]:
+             id_type: str, most: int = OUT_BYTES, exact_only: bool = False) -> Iterator[pa.RecordBatch]:
     """Hits of the queries in batches of documents, sent on before they come to more than ``most`` bytes and a row."""
     lengths, first = np.unique(sizes, return_index=True)
     first = np.append(first, len(sizes))
     bits = WordBits()
     out, held = [], 0
+    many: dict[int, ManyQueries] = {}
+    # chunks that wait to be asked for together, and their documents
+    waiting, texts, size = [], [], 0
 
     def flush():
         nonlocal out, held
@@ -112,32 +146,57 @@ def _answers(batches: Iterator[pa.RecordBatch], ids: list, sizes: np.ndarray, ha
     kinds = [pa.int32(), None, pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(),
              pa.string(), pa.binary()]
     kinds[1] = pa.int64() if id_type == "bigint" else pa.int32() if id_type == "int" else pa.string()
+    def send(of: list[tuple], t, q, n, c, h, d) -> Iterator[pa.RecordBatch]:
+        nonlocal held
+        if exact_only:
+            t, q, n, c, h, d = (v[d == 0] for v in (t, q, n, c, h, d))
+        for t, q, n, c, h, d in zip(*(x.tolist() for x in (t, q, n, c, h, d))):
+            doc, raw = of[t]
+            piece = raw[c * n:(c + 1) * n]
+            out.append((n, ids[q], doc, c, c * n, len(piece), h, d, "fuzzy" if d else "exact", piece))
+            held += ROW_BYTES + len(piece)
+            if held >= most:      # hits and their bytes are sent on as they come
+                yield flush()
+
+    def ask() -> Iterator[pa.RecordBatch]:
+        nonlocal waiting, texts, size
+        rows, of = [np.concatenate(v) for v in zip(*waiting)], texts
+        waiting, texts, size = [], [], 0
+        for number in np.unique(rows[1]).tolist():
+            t, _, c, h = (v[rows[1] == number] for v in rows)
+            if number not in many:
+                many[number] = ManyQueries(hashes[first[number]:first[number + 1]], k)
+            for i, j, d in many[number].hits(t, h, scope):
+                yield from send(of, t[i], j + first[number], np.full(len(i), lengths[number]), c[i], h[i], d)
     for batch in batches:
         for doc, content in zip(batch.column(0).to_pylist(), batch.column(1)):
             raw = content.as_py()
             if not raw:
                 continue
-            hits = _hits(raw, lengths, first, sizes, hashes, k, bits)
+            left: list[tuple[np.ndarray, ...]] = []
+            hits = _hits(raw, lengths, first, sizes, hashes, k, bits, left)
             for part in _kept(hits, scope, len(sizes)):
-                for q, n, c, h, d in zip(*(x.tolist() for x in part)):
-                    piece = raw[c * n:(c + 1) * n]
-                    out.append((n, ids[q], doc, c, c * n, len(piece), h, d, "fuzzy" if d else "exact", piece))
-                    held += ROW_BYTES + len(piece)
-                    if held >= most:      # hits and their bytes are sent on as they come
-                        yield flush()
+                yield from send([(doc, raw)], np.zeros(len(part[0]), np.int64), *part)
+            if left:
+                waiting += [(np.full(len(v[0]), len(texts)), *v) for v in left]
+                texts.append((doc, raw))
+                size += len(raw) + ROW_BYTES * sum(len(v[0]) for v in left)
+                if size >= WAITING_BYTES:
+                    yield from ask()
+    if waiting:
+        yield from ask()
     yield flush()
 
 
-def _search_block(docs: DataFrame, rows: list, k: int, scope: str, id_type: str) -> DataFrame:
+def _search_block(docs: DataFrame, rows: pa.Table, k: int, scope: str, id_type: str, exact_only: bool = False) -> DataFrame:
     """Hits of one block of queries in every document."""
-    ids = [r["query_id"] for r in rows]
-    sizes = np.array([r["chunk_size"] for r in rows], np.int64)
-    hashes = np.array([r["qhash"] for r in rows], np.int64)
+    ids = rows.column("query_id").to_pylist()
+    sizes, hashes = (rows.column(c).to_numpy().astype(np.int64) for c in ("chunk_size", "qhash"))
     order = np.argsort(sizes, kind="stable")
     shared = docs.sparkSession.sparkContext.broadcast(([ids[i] for i in order], sizes[order], hashes[order]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _answers(batches, *shared.value, k, scope, id_type)
+        return _answers(batches, *shared.value, k, scope, id_type, exact_only=exact_only)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "content").mapInArrow(
         run, f"chunk_size int, query_id {id_type}, doc_id bigint, chunk_idx int, offset bigint, size int, "
              "hash bigint, distance int, match_type string, content binary")
@@ -146,8 +205,10 @@ def _search_block(docs: DataFrame, rows: list, k: int, scope: str, id_type: str)
 def search_corpus(docs: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DISTANCE, *,
                   scope: str = "corpus", id_col: str = "query_id", text_col: str = "text",
                   with_content: bool = True, method: str = "arrow",
-                  block_rows: int = QUERY_BLOCK) -> DataFrame:
-    """U4 (W1 for one query): hits of every query text in every document."""
+                  block_rows: int = QUERY_BLOCK, exact_only: bool = False) -> DataFrame:
+    """U4 (W1 for one query): hits of every query text in every document.
+
+    ``exact_only`` gives what ``where(distance = 0)`` leaves of them: the search is the same, the other hits stay in its tasks."""
     if scope not in ("file", "corpus"):
         raise ValueError(f"unknown scope {scope!r}")
     ids = queries.select(F.col(id_col).alias("query_id"), F.col(text_col).alias("text"))
@@ -158,8 +219,8 @@ def search_corpus(docs: DataFrame, queries: DataFrame, k: int = DEFAULT_MAX_DIST
     n_blocks = max(1, -(-n_rows(q) // block_rows))
     parts = []
     for b in range(n_blocks):
-        rows = q.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b).collect()
-        parts.append(_search_block(docs, rows, k, scope, id_type))
+        rows = q.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b).toArrow()
+        parts.append(_search_block(docs, rows, k, scope, id_type, exact_only))
     hits = reduce(DataFrame.unionByName, parts)
     if scope == "corpus":
         hits = materialize(hits)

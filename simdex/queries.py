@@ -701,7 +701,7 @@ def q_search_exact_hits(spark, sf):
         .select(F.concat(F.lit("d"), F.col("doc_id")).alias("query_id"),
                 F.substring("content", 301, 300).alias("bytes"))
     # the search hashes the text's bytes, so a cut inside a character stays as it is
-    hits = search_corpus(docs, cut.withColumnRenamed("bytes", "text"), K, scope="file")
+    hits = search_corpus(docs, cut.withColumnRenamed("bytes", "text"), K, scope="file", exact_only=True)
     return hits.where(F.col("distance") == 0).alias("h").join(
         cut.alias("q"), (F.col("h.query_id") == F.col("q.query_id")) & (F.col("h.content") == F.col("q.bytes"))) \
         .select(F.col("h.query_id").alias("query_id"), "doc_id", "chunk_idx")

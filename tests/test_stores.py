@@ -230,3 +230,38 @@ def test_judged_chunks_lose_no_hit(k, monkeypatch):
         for _, n, c, h, d in hits[:40]:
             piece = t[c * n:(c + 1) * n]
             assert next(chunk_votes.chunk_hashes(piece, np.array([len(piece)]), WordBits()))[2][0] == h
+
+
+@pytest.mark.parametrize("scope", ["file", "corpus"])
+def test_many_queries_of_a_length(scope, monkeypatch):
+    """Chunks asked by bands, some documents at a time, have the hits of one by one; those kept as exact are the same, fewer rows."""
+    import pyarrow as pa
+
+    from simdex.functions.chunk_votes import chunk_hashes
+    from simdex.plans import search
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdef") for _ in range(rng.choice([2, 4, 7]))) for _ in range(12)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.choice([3, 60, 200]))).encode() for _ in range(25)]
+    texts += [texts[3], texts[3], texts[0] * 3, b"", None, b"?" * 100]
+    asked = sorted([t[a:a + n] for t in texts if t for n in (30, 64, 2000) for a in range(0, min(len(t), 5 * n), n)], key=len)
+    sizes = np.array([30 if len(a) < 30 else len(a) for a in asked], np.int64)
+    order = np.argsort(sizes, kind="stable")
+    hashes = np.concatenate([next(chunk_hashes(a, np.array([len(a)]), WordBits()))[2] for a in asked])
+    ids, sizes, hashes = [f"q{i}" for i in order], sizes[order], hashes[order]
+    docs = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "content": texts}, pa.schema([("doc_id", pa.int64()), ("content", pa.binary())]))
+
+    def rows(**kw):
+        return [r for b in search._answers(iter([docs, docs.slice(5, 9)]), ids, sizes, hashes, 10, scope, "string", 5000, **kw)
+                for r in zip(*b.to_pydict().values())]
+    monkeypatch.setattr(search, "MANY_QUERIES", 10 ** 9)
+    want = rows()
+    exact = rows(exact_only=True)
+    assert sorted(exact) == sorted(r for r in want if r[8] == "exact") and len(exact) < len(want)
+    for most, waiting in ((2, 1), (30, 3000), (30, 1 << 22)):
+        monkeypatch.setattr(search, "MANY_QUERIES", most)
+        monkeypatch.setattr(search, "WAITING_BYTES", waiting)
+        asked_by_bands = []
+        monkeypatch.setattr(search.ManyQueries, "hits", lambda self, *a, f=search.ManyQueries.hits: asked_by_bands.append(a) or f(self, *a))
+        assert sorted(rows()) == sorted(want) and sorted(rows(exact_only=True)) == sorted(exact) and asked_by_bands
+        monkeypatch.undo()
+        monkeypatch.setattr(search, "MANY_QUERIES", 10 ** 9)
