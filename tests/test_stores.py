@@ -265,3 +265,28 @@ def test_many_queries_of_a_length(scope, monkeypatch):
         assert sorted(rows()) == sorted(want) and sorted(rows(exact_only=True)) == sorted(exact) and asked_by_bands
         monkeypatch.undo()
         monkeypatch.setattr(search, "MANY_QUERIES", 10 ** 9)
+
+
+def test_hits_of_a_document_by_place(monkeypatch):
+    """Pieces that overlap are sent one after another, whatever their lengths; no hit is lost when they are sorted in parts."""
+    import pyarrow as pa
+
+    from simdex.functions.chunk_votes import chunk_hashes
+    from simdex.plans import search
+    rng = random.Random(8)
+    text = " ".join(rng.choice(["one", "two", "three", "four"]) for _ in range(400)).encode()
+    asked = sorted((text[a:a + n] for n in range(100, 400, 17) for a in (0, n, 2 * n)), key=len)
+    sizes = np.array([len(a) for a in asked])
+    hashes = np.concatenate([next(chunk_hashes(a, np.array([len(a)]), WordBits()))[2] for a in asked])
+    docs = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "content": [text, text[::-1]]})
+
+    def rows():
+        return [r for b in search._answers(iter([docs]), list(map(str, range(len(asked)))), sizes, hashes, 10, "file", "string")
+                for r in zip(*b.to_pydict().values())]
+    got = rows()
+    for doc in (1, 2):
+        places = [(r[4], r[0]) for r in got if r[2] == doc]
+        assert places == sorted(places)
+    assert len({r[0] for r in got}) > 10 and len(got) > 60
+    monkeypatch.setattr(search, "SORTED_HITS", 20)
+    assert sorted(rows()) == sorted(got)
